@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The studies this library re-expresses are batch analyses of a loan tape; no
+stream source, watermark, window or state appears in them, so there is no
+streaming operator to build.  Every operator here is a plain DataFrame
+transformation and therefore also accepts a streaming DataFrame where Spark
+allows the underlying operation (projections, filters, joins with a static
+map); aggregations over a stream need the caller's watermark.
+"""

@@ -121,7 +121,9 @@ def cutoff_sweep(df: DataFrame, col: str, start: float, stop: float, step: float
            .when(x >= s0 + (i0 + 1) * st, i0 + 1)
            .otherwise(i0))
     idx = F.least(idx, F.lit(n_cut - 1))
-    rows = df.select(idx.alias("idx"), F.col(label).alias("__y"), F.col(apr).alias("__a")) \
+    # least() skips NULLs, so rows without a value are removed before bucketing
+    rows = df.filter(x.isNotNull()) \
+             .select(idx.alias("idx"), F.col(label).alias("__y"), F.col(apr).alias("__a")) \
              .filter(F.col("idx") >= 0)
     per = rows.groupBy("idx").agg(
         F.count(F.lit(1)).alias("__n"), F.sum("__y").alias("__d"),

@@ -26,93 +26,103 @@ from tapewise.functions.exprs import as_column
 DEFAULT_RANGES = 256
 
 
-def score_counts(df: DataFrame, label: str, score: str | Column) -> DataFrame:
-    """``threshold, pos, neg`` per distinct non-NULL score."""
+def score_counts(df: DataFrame, label: str, score: str | Column, by: Sequence[str] = ()) -> DataFrame:
+    """``[by...], threshold, pos, neg`` per distinct non-NULL score (per group)."""
+    by = list(by)
     s = as_column(score).cast("double")
     y = F.col(label)
-    base = df.select(s.alias("threshold"), y.alias("__y")).filter(F.col("threshold").isNotNull() & F.col("__y").isNotNull())
-    return base.groupBy("threshold").agg(
+    base = df.select(*by, s.alias("threshold"), y.alias("__y")) \
+             .filter(F.col("threshold").isNotNull() & F.col("__y").isNotNull())
+    return base.groupBy(*by, "threshold").agg(
         F.sum(F.when(F.col("__y") == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(F.col("__y") == 1, 0).otherwise(1)).cast("bigint").alias("neg"))
 
 
-def _running_desc(counts: DataFrame, cols: Sequence[str], n_ranges: int) -> DataFrame:
-    """Add ``cum_<c>`` = sum of ``c`` over all thresholds >= this one."""
-    stats = counts.agg(F.min("threshold").alias("__lo"), F.max("threshold").alias("__hi"))
+def _running_desc(counts: DataFrame, cols: Sequence[str], n_ranges: int, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``cum_<c>`` = sum of ``c`` over all thresholds >= this one (within each group)."""
+    by = list(by)
+    stats = counts.groupBy(*by).agg(F.min("threshold").alias("__lo"), F.max("threshold").alias("__hi"))
     span = F.col("__hi") - F.col("__lo")
     rng = F.least(
         F.coalesce(F.floor(F.try_divide((F.col("__hi") - F.col("threshold")) * F.lit(float(n_ranges)), span)), F.lit(0)),
         F.lit(n_ranges - 1)).cast("int")
-    c = counts.crossJoin(F.broadcast(stats)).withColumn("__r", rng).drop("__lo", "__hi")
-    totals = c.groupBy("__r").agg(*[F.sum(x).alias(f"__t_{x}") for x in cols])
-    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__r", *[F.coalesce(F.sum(f"__t_{x}").over(before), F.lit(0)).alias(f"__o_{x}") for x in cols])
-    # offsets has at most n_ranges rows: a parameter, not the data, bounds it
-    j = c.join(F.broadcast(offsets), "__r")
-    within = Window.partitionBy("__r").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return j.select("threshold", *cols,
+    # stats has one row per group: broadcast when there are no groups, planner's choice otherwise
+    c = (counts.crossJoin(F.broadcast(stats)) if not by else counts.join(stats, by)) \
+        .withColumn("__r", rng).drop("__lo", "__hi")
+    totals = c.groupBy(*by, "__r").agg(*[F.sum(x).alias(f"__t_{x}") for x in cols])
+    before = Window.partitionBy(*by).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "__r",
+                            *[F.coalesce(F.sum(f"__t_{x}").over(before), F.lit(0)).alias(f"__o_{x}") for x in cols])
+    # offsets has at most n_ranges rows per group: a parameter, not the data, bounds it
+    j = c.join(F.broadcast(offsets) if not by else offsets, [*by, "__r"])
+    within = Window.partitionBy(*by, "__r").orderBy(F.desc("threshold")) \
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return j.select(*by, "threshold", *cols,
                     *[(F.col(f"__o_{x}") + F.sum(x).over(within)).alias(f"cum_{x}") for x in cols])
 
 
-def _with_totals(counts: DataFrame) -> DataFrame:
-    tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return tot
-
-
-def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """``threshold, pos, neg, tp, fp, P, N`` where tp/fp count rows with score >= threshold."""
-    counts = score_counts(df, label, score)
-    run = _running_desc(counts, ["pos", "neg"], n_ranges)
+def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+                      by: Sequence[str] = ()) -> DataFrame:
+    """``[by...], threshold, pos, neg, tp, fp, P, N`` where tp/fp count rows with score >= threshold."""
+    by = list(by)
+    counts = score_counts(df, label, score, by)
+    run = _running_desc(counts, ["pos", "neg"], n_ranges, by)
     run = run.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
-    return run.crossJoin(F.broadcast(_with_totals(counts)))
+    tot = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return run.crossJoin(F.broadcast(tot)) if not by else run.join(tot, by)
 
 
-def roc_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """``threshold, tp, fp, tpr, fpr`` for every distinct score (origin implied)."""
-    c = cumulative_counts(df, label, score, n_ranges)
-    return c.select("threshold", "tp", "fp",
+def roc_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+              by: Sequence[str] = ()) -> DataFrame:
+    """``[by...], threshold, tp, fp, tpr, fpr`` for every distinct score (origin implied)."""
+    c = cumulative_counts(df, label, score, n_ranges, by)
+    return c.select(*by, "threshold", "tp", "fp",
                     F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("tpr"),
                     F.try_divide(F.col("fp").cast("double"), F.col("N").cast("double")).alias("fpr"))
 
 
-def pr_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """``threshold, tp, fp, precision, recall`` (precision at its own threshold)."""
-    c = cumulative_counts(df, label, score, n_ranges)
-    return c.select("threshold", "tp", "fp",
+def pr_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+             by: Sequence[str] = ()) -> DataFrame:
+    """``[by...], threshold, tp, fp, precision, recall`` (precision at its own threshold)."""
+    c = cumulative_counts(df, label, score, n_ranges, by)
+    return c.select(*by, "threshold", "tp", "fp",
                     F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double")).alias("precision"),
                     F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("recall"))
 
 
-def threshold_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    return pr_curve(df, label, score, n_ranges).select("threshold", "precision", "recall")
+def threshold_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+                    by: Sequence[str] = ()) -> DataFrame:
+    return pr_curve(df, label, score, n_ranges, by).select(*by, "threshold", "precision", "recall")
 
 
 def curve_drop_na(curve: DataFrame, col: str) -> DataFrame:
     return curve.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
 
 
-def _segments(df: DataFrame, label: str, score: str | Column, n_ranges: int) -> DataFrame:
-    c = cumulative_counts(df, label, score, n_ranges)
+def _segments(df: DataFrame, label: str, score: str | Column, n_ranges: int, by: Sequence[str]) -> DataFrame:
+    c = cumulative_counts(df, label, score, n_ranges, by)
     return c.withColumns({"__ptp": F.col("tp") - F.col("pos"), "__pfp": F.col("fp") - F.col("neg")})
 
 
-def roc_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """Exact trapezoid area under the ROC curve (ties handled as one threshold): ``auc_roc``."""
-    s = _segments(df, label, score, n_ranges)
+def roc_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+            by: Sequence[str] = ()) -> DataFrame:
+    """Exact trapezoid area under the ROC curve (ties handled as one threshold): ``[by...], auc_roc``."""
+    s = _segments(df, label, score, n_ranges, by)
     P = F.col("P").cast("double")
     N = F.col("N").cast("double")
     area = F.try_divide(F.col("neg") * (F.col("tp") + F.col("__ptp")).cast("double") / 2.0, P * N)
-    return s.agg(F.sum(area).alias("auc_roc"))
+    return s.groupBy(*by).agg(F.sum(area).alias("auc_roc"))
 
 
-def pr_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """Trapezoid area under precision-recall with three anchors, one row:
+def pr_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+           by: Sequence[str] = ()) -> DataFrame:
+    """Trapezoid area under precision-recall with three anchors, one row per group:
 
     * ``pr_auc_one``   - the curve starts at (recall 0, precision 1);
     * ``pr_auc_none``  - no point before the highest threshold (the first segment is dropped);
     * ``pr_auc_first`` - the curve starts at (0, precision of the first point).
     """
-    s = _segments(df, label, score, n_ranges)
+    s = _segments(df, label, score, n_ranges, by)
     P = F.col("P").cast("double")
     rec = F.col("tp") / P
     prev_rec = F.col("__ptp") / P
@@ -120,19 +130,20 @@ def pr_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAU
     first = (F.col("__ptp") + F.col("__pfp")) == 0
     prev_prec = F.try_divide(F.col("__ptp").cast("double"), (F.col("__ptp") + F.col("__pfp")).cast("double"))
     seg = lambda p0: (rec - prev_rec) * (prec + p0) / 2.0
-    return s.agg(
+    return s.groupBy(*by).agg(
         F.sum(F.when(first, seg(F.lit(1.0))).otherwise(seg(prev_prec))).alias("pr_auc_one"),
         F.sum(F.when(first, F.lit(0.0)).otherwise(seg(prev_prec))).alias("pr_auc_none"),
         F.sum(F.when(first, seg(prec)).otherwise(seg(prev_prec))).alias("pr_auc_first"))
 
 
-def average_precision(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """``average_precision`` = sum over thresholds of (recall step) x precision."""
-    s = _segments(df, label, score, n_ranges)
+def average_precision(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+                      by: Sequence[str] = ()) -> DataFrame:
+    """``[by...], average_precision`` = sum over thresholds of (recall step) x precision."""
+    s = _segments(df, label, score, n_ranges, by)
     P = F.col("P").cast("double")
     step = (F.col("tp") - F.col("__ptp")) / P
     prec = F.col("tp") / (F.col("tp") + F.col("fp")).cast("double")
-    return s.agg(F.sum(step * prec).alias("average_precision"))
+    return s.groupBy(*by).agg(F.sum(step * prec).alias("average_precision"))
 
 
 def threshold_crossing(curve: DataFrame) -> DataFrame:

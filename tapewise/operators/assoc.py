@@ -35,8 +35,10 @@ def chi_square_table(df: DataFrame, cats: Sequence[str], label: str, yates: bool
     cols_t = cells.groupBy("field", label).agg(F.sum("o").alias("c"))
     dims = cells.groupBy("field").agg(
         F.sum("o").alias("n"), F.count_distinct("value").alias("k"), F.count_distinct(label).alias("m"))
-    grid = rows_t.join(cols_t, "field").join(cells, ["field", "value", label], "left") \
-                 .join(dims, "field") \
+    # cols_t and dims have one row per (field, label level) and per field: bounded, broadcast,
+    # so no field's levels are funnelled into one task by a join on "field"
+    grid = rows_t.join(F.broadcast(cols_t), "field").join(cells, ["field", "value", label], "left") \
+                 .join(F.broadcast(dims), "field") \
                  .withColumn("o", F.coalesce(F.col("o"), F.lit(0)))
     e = F.col("r").cast("double") * F.col("c").cast("double") / F.col("n").cast("double")
     diff = F.abs(F.col("o") - e)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewise.functions.exprs import as_column, hash_int, safe_ratio
+from tapewise.operators.quantiles import quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -37,47 +38,29 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def _percentiles(x: Column, probs: Sequence[float], exact: bool, accuracy: int) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    if exact:
-        return F.percentile(x, arr)
-    return F.percentile_approx(x, arr, accuracy)
+def _summary(long: DataFrame, keys: Sequence[str], method: str, accuracy: int) -> DataFrame:
+    x = F.col("value")
+    main = long.groupBy(*keys).agg(
+        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"), F.max(x).alias("max"))
+    q = quantiles(long, keys, "value", QUARTILES, method=method, accuracy=accuracy).drop("n")
+    out = main.join(q, list(keys), "left")
+    return out.select(*keys, "count", "mean", "std", "min",
+                      F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")
 
 
-def _summary_aggs(x: Column, exact: bool, accuracy: int) -> list[Column]:
-    return [
-        F.count(x).alias("count"),
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"),
-        _percentiles(x, QUARTILES, exact, accuracy).alias("__q"),
-        F.max(x).alias("max"),
-    ]
-
-
-def _finish_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys, "count", "mean", "std", "min",
-                     F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"), F.col("__q")[2].alias("p75"),
-                     "max")
-
-
-def describe(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: int = 10000) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """count, mean, std (n-1), min, 25/50/75% (linear interpolation), max per column.
 
-    ``exact=True`` uses ``percentile`` (value->count map per group, equal to
-    pandas/DuckDB interpolation); ``exact=False`` uses a bounded-memory
-    ``percentile_approx`` sketch for high-cardinality columns at scale.
+    Quantiles are exact by default (distributed rank selection, see
+    ``operators.quantiles``); ``method='approx'`` uses a bounded sketch.
     """
-    long = unpivot(df, cols, value_type="double")
-    agg = long.groupBy("field").agg(*_summary_aggs(F.col("value"), exact, accuracy))
-    return _finish_summary(agg, ["field"])
+    return _summary(unpivot(df, cols, value_type="double"), ["field"], method, accuracy)
 
 
-def describe_by(df: DataFrame, cols: Sequence[str], by: str, exact: bool = True,
+def describe_by(df: DataFrame, cols: Sequence[str], by: str, method: str = "exact",
                 accuracy: int = 10000) -> DataFrame:
-    long = unpivot(df, cols, keep=[by], value_type="double")
-    agg = long.groupBy("field", by).agg(*_summary_aggs(F.col("value"), exact, accuracy))
-    return _finish_summary(agg, ["field", by])
+    return _summary(unpivot(df, cols, keep=[by], value_type="double"), ["field", by], method, accuracy)
 
 
 def n_distinct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -181,16 +164,17 @@ def stacked_count(df: DataFrame, col: str, by: str) -> DataFrame:
 def share_by(df: DataFrame, cols: Sequence[str], dropna: bool = False) -> DataFrame:
     """Pie data: ``field, value, n, share`` where shares of a field sum to 1."""
     counts = value_counts(df, cols, dropna=dropna)
-    w = Window.partitionBy("field")
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(w))
+    # field totals: one row per field (bounded by the column list), joined back by broadcast
+    totals = counts.groupBy("field").agg(F.sum("n").alias("__total"))
+    return counts.join(F.broadcast(totals), "field").select(
+        "field", "value", "n", (F.col("n") / F.col("__total")).alias("share"))
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], by: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], by: str, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Five-number summary per (field, by) with 1.5 x IQR whiskers and the outlier count."""
     long = unpivot(df, cols, keep=[by], value_type="double").filter(F.col("value").isNotNull())
-    q = long.groupBy("field", by).agg(_percentiles(F.col("value"), QUARTILES, exact, accuracy).alias("__q"))
-    q = q.select("field", by, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                 F.col("__q")[2].alias("q3"))
+    q = quantiles(long, ["field", by], "value", QUARTILES, method=method, accuracy=accuracy)
+    q = q.select("field", by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(1.5) * iqr
     hi_fence = F.col("q3") + F.lit(1.5) * iqr

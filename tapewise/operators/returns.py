@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewise.operators.profile import unpivot
+from tapewise.operators.quantiles import wide_quantiles
 
 
 def _ret(avg_apr, rate):
@@ -20,7 +21,7 @@ def _ret(avg_apr, rate):
 
 
 def def_adj_rets(df: DataFrame, features: Sequence[str], up: Sequence[str], pct: float = 0.75,
-                 label: str = "default_flag", apr: str = "apr", exact: bool = True,
+                 label: str = "default_flag", apr: str = "apr", method: str = "exact",
                  accuracy: int = 10000) -> DataFrame:
     """Per feature: cutoff at the ``pct`` quantile (features in ``up``, keep x >= cutoff)
     or the ``1 - pct`` quantile (others, keep x <= cutoff); default rate, average APR
@@ -34,11 +35,9 @@ def def_adj_rets(df: DataFrame, features: Sequence[str], up: Sequence[str], pct:
     features = list(features)
     up = set(up)
 
-    def q(c, prob):
-        x = F.col(c).cast("double")
-        return F.percentile(x, F.lit(prob)) if exact else F.percentile_approx(x, F.lit(prob), accuracy)
-
-    cuts = df.agg(*[q(c, p if c in up else 1.0 - p).alias(f"__cut{i}") for i, c in enumerate(features)])
+    probs = {c: [p if c in up else 1.0 - p] for c in features}
+    wide = wide_quantiles(df, features, probs, method=method, accuracy=accuracy)
+    cuts = wide.select(*[F.col(f"__q_{c}_0").alias(f"__cut{i}") for i, c in enumerate(features)])
     j = df.crossJoin(F.broadcast(cuts))
     y = F.col(label)
     a = F.col(apr)

@@ -104,7 +104,7 @@ def complement_split(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
 
 
 def robust_scale(df: DataFrame, cols: Sequence[str], fit_on: Column | DataFrame | None = None,
-                 suffix: str = "", exact: bool = True, accuracy: int = 10000) -> DataFrame:
+                 suffix: str = "", method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """(x - median) / IQR with an IQR of 0 treated as 1.
 
     Statistics come from ``fit_on`` (a predicate selecting the training rows, a
@@ -119,20 +119,17 @@ def robust_scale(df: DataFrame, cols: Sequence[str], fit_on: Column | DataFrame
     else:
         base = df
 
-    def pct(c):
-        x = F.col(c).cast("double")
-        arr = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-        return F.percentile(x, arr) if exact else F.percentile_approx(x, arr, accuracy)
+    from tapewise.operators.quantiles import wide_quantiles
 
-    stats = base.agg(*[pct(c).alias(f"__q{i}") for i, c in enumerate(cols)])
-    j = df.crossJoin(F.broadcast(stats))
+    stats = wide_quantiles(base, cols, [0.25, 0.5, 0.75], method=method, accuracy=accuracy)
+    j = df.crossJoin(F.broadcast(stats))  # one row
     scaled = {}
-    for i, c in enumerate(cols):
-        q = F.col(f"__q{i}")
-        iqr = q[2] - q[0]
+    for c in cols:
+        q1, q2, q3 = (F.col(f"__q_{c}_{i}") for i in range(3))
+        iqr = q3 - q1
         den = F.when(iqr == 0, F.lit(1.0)).otherwise(iqr)
-        scaled[f"{c}{suffix}"] = (F.col(c).cast("double") - q[1]) / den
-    return j.withColumns(scaled).drop(*[f"__q{i}" for i in range(len(cols))])
+        scaled[f"{c}{suffix}"] = (F.col(c).cast("double") - q2) / den
+    return j.withColumns(scaled).drop(*[f"__q_{c}_{i}" for c in cols for i in range(3)])
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features", handle_invalid: str = "keep") -> DataFrame:

@@ -202,3 +202,103 @@ def q_format_percent(spark, d):
 
 
 __all__ = ["union_long"]
+
+
+# ---------------------------------------------------------------- sources and schema operations
+
+@query("read_tape", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def q_read_tape(spark, d):
+    """A tape read with a declared schema: only the declared columns are scanned."""
+    from tapewise.sources.tape import read_tape
+
+    return read_tape(spark, f"{d}/orders.parquet", schema="o_orderkey bigint, o_totalprice double, o_orderstatus string")
+
+
+@query("read_mapping", "SELECT n_nationkey AS state_key, n_name AS state, n_regionkey AS region_key FROM nation")
+def q_read_mapping(spark, d):
+    from tapewise.sources.tape import read_mapping
+
+    return read_mapping(spark, f"{d}/nation.parquet", names=["state_key", "state", "region_key"], fmt="parquet")
+
+
+@query("inline_mapping", tape_sql(
+    "SELECT loan_id, purpose, CAST(CASE purpose "
+    + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PURPOSE_CODES.items())
+    + " END AS BIGINT) AS purpose_code FROM loan_tape"))
+def q_inline_mapping(spark, d):
+    """Literal code table (size known on the driver, so broadcast is safe) left-joined onto the tape."""
+    from tapewise.sources.tape import inline_mapping
+
+    m = inline_mapping(spark, PURPOSE_CODES, "purpose", "purpose_code")
+    return clean.left_lookup_join(labelled_tape(spark, d), m, "purpose", broadcast=True) \
+        .select("loan_id", "purpose", "purpose_code")
+
+
+@query("rename_all", "SELECT r_regionkey AS region_key, r_name AS region_name FROM region")
+def q_rename_all(spark, d):
+    from tapewise.sources.tape import rename_all
+
+    return rename_all(read_table(spark, d, "region"), ["region_key", "region_name"])
+
+
+@query("rename", tape_sql("SELECT loan_id, apr AS interest_apr FROM loan_tape"))
+def q_rename(spark, d):
+    from tapewise.sources.tape import rename
+
+    return rename(labelled_tape(spark, d), {"apr": "interest_apr"}).select("loan_id", "interest_apr")
+
+
+@query("drop_columns", tape_sql("SELECT * EXCLUDE (origination_date, charged_off_date, status) FROM loan_tape"))
+def q_drop_columns(spark, d):
+    from tapewise.sources.tape import drop_columns
+
+    return drop_columns(labelled_tape(spark, d), ["origination_date", "charged_off_date", "status"])
+
+
+@query("inspect_schema")
+def q_inspect_schema(spark, d):
+    from tapewise.sources.tape import inspect_schema
+
+    return inspect_schema(labelled_tape(spark, d))
+
+
+@query("project", tape_sql("SELECT loan_id, grade, apr FROM loan_tape"))
+def q_project(spark, d):
+    return clean.project(labelled_tape(spark, d), ["loan_id", "grade", "apr"])
+
+
+@query("filter_range", tape_sql("SELECT loan_id, fico FROM loan_tape WHERE fico >= 600 AND fico <= 700"))
+def q_filter_range(spark, d):
+    return clean.filter_range(labelled_tape(spark, d), "fico", 600, 700).select("loan_id", "fico")
+
+
+@query("filter_eq", tape_sql("SELECT loan_id, status FROM loan_tape WHERE default_flag = 1"))
+def q_filter_eq(spark, d):
+    return clean.filter_eq(labelled_tape(spark, d), "default_flag", 1).select("loan_id", "status")
+
+
+@query("as_number", tape_sql("SELECT loan_id, TRY_CAST(grade AS DOUBLE) AS grade, TRY_CAST(purpose AS DOUBLE) AS purpose FROM loan_tape"))
+def q_as_number(spark, d):
+    return clean.as_number(labelled_tape(spark, d), ["grade", "purpose"]).select("loan_id", "grade", "purpose")
+
+
+@query("as_string", tape_sql("SELECT loan_id, CAST(term_months AS VARCHAR) AS term_months FROM loan_tape"))
+def q_as_string(spark, d):
+    return clean.as_string(labelled_tape(spark, d), ["term_months"]).select("loan_id", "term_months")
+
+
+@query("blank_to_null", tape_sql(f"SELECT loan_id, NULLIF({_BLANKED}, '') AS home_ownership FROM loan_tape"))
+def q_blank_to_null(spark, d):
+    from tapewise.sources.tape import blank_to_null
+
+    t = labelled_tape(spark, d)
+    t = t.withColumn("home_ownership", F.when(F.col("home_ownership").isNull() & (F.col("loan_id") % 2 == 0), F.lit(""))
+                     .otherwise(F.col("home_ownership")))
+    return blank_to_null(t, ["home_ownership"]).select("loan_id", "home_ownership")
+
+
+@query("head_limit", tape_sql("SELECT loan_id, loan_amount FROM loan_tape ORDER BY loan_amount DESC, loan_id LIMIT 20"))
+def q_head_limit(spark, d):
+    """Top-20 loans by amount: the limit is the report (a top-k)."""
+    return labelled_tape(spark, d).select("loan_id", "loan_amount") \
+        .orderBy(F.desc("loan_amount"), "loan_id").limit(20)

@@ -46,8 +46,8 @@ def _running_desc(counts: DataFrame, cols: Sequence[str], n_ranges: int, by: Seq
     rng = F.least(
         F.coalesce(F.floor(F.try_divide((F.col("__hi") - F.col("threshold")) * F.lit(float(n_ranges)), span)), F.lit(0)),
         F.lit(n_ranges - 1)).cast("int")
-    # stats has one row per group: broadcast when there are no groups, planner's choice otherwise
-    c = (counts.crossJoin(F.broadcast(stats)) if not by else counts.join(stats, by)) \
+    # stats has one row per curve: broadcast, so no curve's scores are funnelled into one task
+    c = (counts.crossJoin(F.broadcast(stats)) if not by else counts.join(F.broadcast(stats), by)) \
         .withColumn("__r", rng).drop("__lo", "__hi")
     totals = c.groupBy(*by, "__r").agg(*[F.sum(x).alias(f"__t_{x}") for x in cols])
     before = Window.partitionBy(*by).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
@@ -69,7 +69,7 @@ def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges:
     run = _running_desc(counts, ["pos", "neg"], n_ranges, by)
     run = run.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
     tot = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return run.crossJoin(F.broadcast(tot)) if not by else run.join(tot, by)
+    return run.crossJoin(F.broadcast(tot)) if not by else run.join(F.broadcast(tot), by)
 
 
 def roc_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,

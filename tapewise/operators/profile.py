@@ -178,7 +178,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str, method: str = "exact"
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(1.5) * iqr
     hi_fence = F.col("q3") + F.lit(1.5) * iqr
-    j = long.join(q, ["field", by])
+    # q has one row per (field, level of by): broadcast instead of shuffling all rows on a few keys
+    j = long.join(F.broadcast(q), ["field", by])
     v = F.col("value")
     return j.groupBy("field", by, "q1", "median", "q3").agg(
         F.min(F.when(v >= lo_fence, v)).alias("whisker_lo"),

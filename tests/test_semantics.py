@@ -212,3 +212,32 @@ def test_control_values_sf001(spark):
     assert cv["grade"].chi2 == pytest.approx(2.5047639, abs=1e-7)
     assert cv["grade"].v_ref == pytest.approx(0.0091374, abs=1e-7)
     assert t.agg(F.avg("default_flag")).first()[0] == pytest.approx(0.3392, abs=1e-4)
+
+
+def test_quantiles_with_a_hot_value_match_numpy(spark):
+    """One value holds a third of the rows; exact quantiles still equal linear interpolation."""
+    import numpy as np
+
+    from tapewise.operators.quantiles import quantiles
+
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([np.full(3000, 42.0), rng.normal(40, 10, 6000).round(3)])
+    rows = [("a", float(v)) for v in vals] + [("b", float(v)) for v in vals[::7]]
+    df = spark.createDataFrame(rows, "field string, value double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {r.field: r for r in quantiles(df, ["field"], "value", probs, n_ranges=16).collect()}
+    for f, arr in (("a", vals), ("b", vals[::7])):
+        want = np.quantile(arr, probs)
+        assert got[f].n == len(arr)
+        for i, w in enumerate(want):
+            assert got[f][f"q{i}"] == pytest.approx(w, abs=1e-9)
+
+
+def test_curve_with_a_hot_score(spark):
+    """A third of the rows share one score; AUC equals the Mann-Whitney count."""
+    rows = [(0.5, i % 2) for i in range(300)] + [(i / 1000.0, 1 if i % 3 else 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "s double, y int").repartition(4)
+    pos = [s for s, y in rows if y == 1]
+    neg = [s for s, y in rows if y == 0]
+    wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+    assert C.roc_auc(df, "y", "s", n_ranges=8).first().auc_roc == pytest.approx(wins / (len(pos) * len(neg)))

@@ -79,7 +79,7 @@ def portfolio_metrics(df: DataFrame, subset: Column | DataFrame, label: str = "d
         tot = df.agg(F.count(F.lit(1)).alias("n_total"))
         sub = subset.agg(F.count(F.lit(1)).alias("n_subset"), F.avg(F.col(label).cast("double")).alias("default_rate"),
                          F.avg(apr).alias("avg_apr"))
-        j = tot.crossJoin(sub)
+        j = tot.crossJoin(F.broadcast(sub))  # both sides are one row
     else:
         m = F.coalesce(subset, F.lit(False))
         j = df.agg(

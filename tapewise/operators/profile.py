@@ -140,10 +140,11 @@ def histogram_by(df: DataFrame, cols: Sequence[str], by: str | None, bins: int =
     stats = _hist_stats(long, ["field"])
     binned = long.join(F.broadcast(stats), "field").withColumn("bin", _bin_expr(bins))
     counts = binned.groupBy("field", *keep, "bin").agg(F.count(F.lit(1)).alias("n"))
-    grid = stats.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    if by:
-        levels = long.select(by).distinct()
-        grid = grid.crossJoin(levels)
+    # the zero-filled grid: every (field[, level]) present in the data times the bins,
+    # built from the distinct pairs (no cross join) and the per-field stats (one row per field)
+    pairs = long.select("field", *keep).distinct() if by else stats.select("field")
+    grid = pairs.join(F.broadcast(stats), "field") \
+                .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
     out = grid.join(counts, ["field", *keep, "bin"], "left")
     return out.select(

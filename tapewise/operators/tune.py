@@ -40,7 +40,8 @@ def classification_scores(estimator, data: DataFrame, key: str, folds: int = 3,
     full = estimator.fit(data)
     train_acc = full.transform(data).agg(
         F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("train_accuracy"))
-    f = kfold(data, key, folds, seed)
+    # the k fits each read the folded data: keep it (recomputable from lineage if an executor is lost)
+    f = kfold(data, key, folds, seed).persist()
     parts = []
     for i in range(folds):
         m = estimator.fit(f.filter(F.col("fold") != i))

@@ -92,3 +92,16 @@ SELECT field_a, field_b, {r6('r')} AS r, round(r, 1) + 0.0 AS r_rounded FROM pai
 @query("corr_matrix", _corr_sql())
 def q_corr_matrix(spark, d):
     return A.corr_matrix(labelled_tape(spark, d), CORR_COLS, digits=1)
+
+
+@query("chi2_pvalues")
+def q_chi2_pvalues(spark, d):
+    """Critical value at 95 % and upper-tail p-value of each field's chi-square (reference df = k + m - 1)."""
+    return A.add_chi2_pvalues(A.cramers_v(labelled_tape(spark, d), CAT_COLS, "default_flag", style="py"),
+                              "chi2", "dof_ref")
+
+
+@query("point_biserial_pvalues")
+def q_point_biserial_pvalues(spark, d):
+    """Two-sided p-value of each point-biserial r (t distribution, n - 2 df)."""
+    return A.add_t_pvalues(A.point_biserial(labelled_tape(spark, d), CONT_COLS, "default_flag", style="py"))

@@ -221,3 +221,16 @@ def q_nested_feature_models(spark, d):
     test = t.filter(F.col("part") == "test")
     sets = {k: _spec(n, c) for k, (n, c) in FEATURE_SETS.items()}
     return T.nested_feature_models(train, test, sets, _comparison_models, "loan_id")
+
+
+# caret's default boosting grid varies depth and tree count; this grid keeps its depths 1-3 at 50 trees
+GBM_GRID = [{"maxDepth": 1, "maxIter": 50}, {"maxDepth": 2, "maxIter": 50}, {"maxDepth": 3, "maxIter": 50}]
+
+
+@query("gbm_repeated_cv")
+def q_gbm_repeated_cv(spark, d):
+    """Gradient boosting tuned by 4 x 4 repeated cross-validation on the training part."""
+    tr, _, _ = _parts(spark, d)
+    summary, _ = T.repeated_cv_search(M.gradient_boosting(step_size=0.1, seed=3), GBM_GRID, tr.persist(), "loan_id",
+                                      k=4, repeats=4, seed=3, parallelism=8)
+    return summary

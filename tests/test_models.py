@@ -111,3 +111,12 @@ def test_roc_comp_rows(planted):
     rows = {r.model: r for r in table.collect()}
     assert set(rows) == {"forest", "logistic"} and rows["forest"].roc_auc > 0.8
     assert curves.select("model").distinct().count() == 2
+
+
+def test_repeated_cv_search_picks_a_grid_point(planted):
+    tr, _, _ = planted
+    grid = [{"maxDepth": 1}, {"maxDepth": 4}]
+    summary, best = T.repeated_cv_search(M.decision_tree(), grid, tr, "loan_id", k=2, repeats=2, parallelism=4)
+    rows = {r.combo: r for r in summary.collect()}
+    assert set(rows) == {0, 1} and all(r.n_folds == 4 for r in rows.values())
+    assert best == {"maxDepth": 4}  # the planted interaction needs depth

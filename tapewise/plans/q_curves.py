@@ -129,3 +129,25 @@ def q_auc_hard_labels(spark, d):
     """AUC of hard 0/1 predictions (the original scripts' ``roc_curve`` on predicted labels)."""
     p = _predicted(spark, d)
     return C.roc_auc(p, "default_flag", F.col("prediction"))
+
+
+@query("imbalanced_curve_areas", f"""WITH j AS (SELECT l.quality AS y, CAST(d.n_chars AS DOUBLE) AS s
+           FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE d.n_chars IS NOT NULL AND l.quality IS NOT NULL),
+sc AS (SELECT s AS threshold, CAST(sum(y) AS BIGINT) AS pos, CAST(sum(1 - y) AS BIGINT) AS neg FROM j GROUP BY s),
+cum AS (SELECT threshold, pos, neg,
+               CAST(sum(pos) OVER (ORDER BY threshold DESC) AS BIGINT) AS tp,
+               CAST(sum(neg) OVER (ORDER BY threshold DESC) AS BIGINT) AS fp,
+               CAST(sum(pos) OVER () AS DOUBLE) AS P, CAST(sum(neg) OVER () AS DOUBLE) AS N FROM sc),
+seg AS (SELECT *, tp - pos AS ptp, fp - neg AS pfp FROM cum)
+SELECT {r6('sum(neg * (tp + ptp) / 2.0 / (P * N))')} AS auc_roc, """
+       + r6(f"sum(CASE WHEN ptp + pfp = 0 THEN {_SEG.format(p0='1.0')} ELSE {_SEG.format(p0=_PREV)} END)") + " AS pr_auc_one, "
+       + r6(f"sum(CASE WHEN ptp + pfp = 0 THEN 0.0 ELSE {_SEG.format(p0=_PREV)} END)") + " AS pr_auc_none, "
+       + r6(f"sum(CASE WHEN ptp + pfp = 0 THEN {_SEG.format(p0='tp / (tp + fp)')} ELSE {_SEG.format(p0=_PREV)} END)")
+       + " AS pr_auc_first, " + r6("sum((tp - ptp) / P * tp / (tp + fp))") + " AS average_precision FROM seg")
+def q_imbalanced_curve_areas(spark, d):
+    """Curve areas on an imbalanced label (document quality, mostly 1) scored by document length."""
+    from tapewise.sources.fixture import read_table
+
+    j = read_table(spark, d, "labels").join(read_table(spark, d, "documents").select("doc_id", "n_chars"), "doc_id")
+    j = j.select(F.col("quality").alias("y"), F.col("n_chars").cast("double").alias("s"))
+    return C.roc_auc(j, "y", "s").crossJoin(C.pr_auc(j, "y", "s")).crossJoin(C.average_precision(j, "y", "s"))

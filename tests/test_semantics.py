@@ -225,7 +225,7 @@ def test_quantiles_with_a_hot_value_match_numpy(spark):
     rows = [("a", float(v)) for v in vals] + [("b", float(v)) for v in vals[::7]]
     df = spark.createDataFrame(rows, "field string, value double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {r.field: r for r in quantiles(df, ["field"], "value", probs, n_ranges=16).collect()}
+    got = {r.field: r for r in quantiles(df, ["field"], "value", probs, n_ranges=16, map_limit=10).collect()}
     for f, arr in (("a", vals), ("b", vals[::7])):
         want = np.quantile(arr, probs)
         assert got[f].n == len(arr)
@@ -241,3 +241,21 @@ def test_curve_with_a_hot_score(spark):
     neg = [s for s, y in rows if y == 0]
     wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
     assert C.roc_auc(df, "y", "s", n_ranges=8).first().auc_roc == pytest.approx(wins / (len(pos) * len(neg)))
+
+
+def test_quantile_paths_agree(spark):
+    """The bounded-map path and the distributed path give the same exact quantiles."""
+    import numpy as np
+
+    from tapewise.operators.quantiles import quantiles
+
+    rng = np.random.default_rng(11)
+    vals = rng.lognormal(3, 1.5, 4000).round(4)
+    df = spark.createDataFrame([("x", float(v)) for v in vals], "field string, value double")
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    small = quantiles(df, ["field"], "value", probs).first()
+    dist = quantiles(df, ["field"], "value", probs, map_limit=10, n_ranges=32).first()
+    want = np.quantile(vals, probs)
+    for i, w in enumerate(want):
+        assert small[f"q{i}"] == pytest.approx(w, abs=1e-9)
+        assert dist[f"q{i}"] == pytest.approx(w, abs=1e-9)

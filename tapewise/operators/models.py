@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tapewise.functions import knn_kernel
 from tapewise.functions.exprs import hash_bucket
+from tapewise.session import checkpoint_dir
 
 # the kernel travels with the task, so workers need no installed package
 cloudpickle.register_pickle_by_value(knn_kernel)
@@ -242,6 +243,7 @@ def ada_boost(train: DataFrame, n_estimators: int = 300, learning_rate: float =
     the weight update is a lazy expression.  Lineage is cut with a reliable
     ``checkpoint()`` every ``checkpoint_every`` rounds.
     """
+    checkpoint_dir(train.sparkSession)  # spark.checkpoint.dir from the session; a scratch folder only when unset
     first = train.select(FEATURES).first()
     if first is None:
         return AdaBoostModel([])

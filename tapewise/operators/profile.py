@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewise.functions.exprs import as_column, hash_int, safe_ratio
+from tapewise.functions.exprs import hash_int
 from tapewise.operators.quantiles import quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -213,11 +213,3 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[
         F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
         for f in df.schema.fields])
-
-
-__all__ = [
-    "unpivot", "value_counts", "row_count", "describe", "describe_by", "n_distinct", "unique_values",
-    "crosstab", "default_rate_by", "mean_by_ordered", "histogram", "histogram_by", "stacked_amount",
-    "stacked_count", "share_by", "box_stats", "scatter_sample", "trend_line", "round_doubles", "safe_ratio",
-    "as_column",
-]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewise.operators import curves as C
-from tapewise.operators.models import FEATURES, LABEL, FeatureSpec, fit_score, prepare, score_column
+from tapewise.operators.models import LABEL, FeatureSpec, fit_score, prepare, score_column
 from tapewise.operators.split import kfold
 
 
@@ -205,4 +205,4 @@ def nested_feature_models(train_raw: DataFrame, test_raw: DataFrame, feature_set
 
 
 __all__ = ["classification_scores", "sweep", "tune_and_refit", "roc_comp", "nested_feature_models", "repeated_cv_search",
-           "tree_for", "best_value", "FEATURES"]
+           "tree_for", "best_value"]

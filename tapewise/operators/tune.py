@@ -140,14 +140,19 @@ def _tree_kwargs(est) -> dict:
     return {p.name: v for p, v in est.extractParamMap().items() if p.name in keep and est.isSet(p)}
 
 
-def roc_comp(train: DataFrame, test: DataFrame, models: Mapping[str, object], key: str) -> tuple[DataFrame, DataFrame]:
-    """Fit each model, score the test rows, and return
+def roc_comp(train: DataFrame, test: DataFrame, models: Mapping[str, object], key: str,
+             parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Fit each model (concurrently, from a bounded thread pool), score the test rows, and return
     (``model, roc_auc, pr_auc, roc_auc_3, pr_auc_3``, the ROC curves by model).
     PR area drops the undefined first point (no anchor)."""
-    scored = []
-    for name, est in models.items():
+
+    def one(item):
+        name, est = item
         _, s = fit_score(est, train, test, key)
-        scored.append(s.withColumn("model", F.lit(name)))
+        return s.withColumn("model", F.lit(name))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        scored = list(pool.map(one, models.items()))
     allsc = _union(scored)
     roc = C.roc_auc(allsc, LABEL, "score", by=["model"])
     pr = C.pr_auc(allsc, LABEL, "score", by=["model"]).select("model", F.col("pr_auc_none").alias("pr_auc"))
@@ -193,14 +198,21 @@ def repeated_cv_search(estimator, grid: Sequence[Mapping[str, object]], data: Da
 
 
 def nested_feature_models(train_raw: DataFrame, test_raw: DataFrame, feature_sets: Mapping[str, FeatureSpec],
-                          models: Callable[[int], Mapping[str, object]], key: str) -> DataFrame:
-    """``roc_comp`` for each feature set: ``feature_set, model, roc_auc, pr_auc``."""
-    out = []
-    for name, spec in feature_sets.items():
+                          models: Callable[[int], Mapping[str, object]], key: str,
+                          parallelism: int = 4) -> DataFrame:
+    """``roc_comp`` for each feature set: ``feature_set, model, roc_auc, pr_auc``.
+
+    Feature sets are prepared and compared concurrently (bounded thread pool)."""
+
+    def one(item):
+        name, spec = item
         tr, te, _ = prepare(train_raw, test_raw, spec)
         tr = tr.persist()
-        table, _ = roc_comp(tr, te, models(tr.count()), key)
-        out.append(table.withColumn("feature_set", F.lit(name)))
+        table, _ = roc_comp(tr, te, models(tr.count()), key, parallelism=parallelism)
+        return table.withColumn("feature_set", F.lit(name))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(feature_sets)))) as pool:
+        out = list(pool.map(one, feature_sets.items()))
     return _union(out).select("feature_set", "model", "roc_auc", "pr_auc")
 
 

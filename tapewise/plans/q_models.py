@@ -155,7 +155,7 @@ DEPTHS = list(range(1, 31))
 @query("sweep")
 def q_sweep(spark, d):
     tr, te, _ = _parts(spark, d)
-    return T.sweep(tr.persist(), te, "max_depth", DEPTHS, "loan_id", parallelism=4)
+    return T.sweep(tr.persist(), te, "max_depth", DEPTHS, "loan_id", parallelism=8)
 
 
 def tuning_grids(n_features: int, every: int = 10) -> dict:
@@ -171,7 +171,7 @@ def tuning_grids(n_features: int, every: int = 10) -> dict:
 @query("tune_and_refit")
 def q_tune_and_refit(spark, d):
     tr, te, spec = _parts(spark, d)
-    _, metrics = T.tune_and_refit(tr.persist(), te, tuning_grids(len(spec.names)), "loan_id", parallelism=4)
+    _, metrics = T.tune_and_refit(tr.persist(), te, tuning_grids(len(spec.names)), "loan_id", parallelism=8)
     return metrics
 
 

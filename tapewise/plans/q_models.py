@@ -234,3 +234,19 @@ def q_gbm_repeated_cv(spark, d):
     summary, _ = T.repeated_cv_search(M.gradient_boosting(step_size=0.1, seed=3), GBM_GRID, tr.persist(), "loan_id",
                                       k=4, repeats=4, seed=3, parallelism=8)
     return summary
+
+
+@query("logistic_thresholds")
+def q_logistic_thresholds(spark, d):
+    """Logistic probabilities cut at 0.5 and 0.2: accuracy, precision, recall and hard-label AUC per threshold."""
+    from tapewise.operators.clean import threshold_predict
+
+    tr, te, _ = _parts(spark, d)
+    _, scored = M.fit_score(M.logistic("sklearn", n_train=tr.count()), tr, te, "loan_id")
+    outs = []
+    for t in (0.5, 0.2):
+        p = threshold_predict(scored, F.col("score"), t, out="pred_t")
+        stats = C.accuracy_stats(p, M.LABEL, "pred_t")
+        auc = C.roc_auc(p, M.LABEL, F.col("pred_t"))
+        outs.append(stats.crossJoin(auc).withColumn("threshold", F.lit(t)))
+    return outs[0].unionByName(outs[1])

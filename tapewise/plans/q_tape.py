@@ -300,3 +300,18 @@ def q_head_limit(spark, d):
     """Top-20 loans by amount: the limit is the report (a top-k)."""
     return labelled_tape(spark, d).select("loan_id", "loan_amount") \
         .orderBy(F.desc("loan_amount"), "loan_id").limit(20)
+
+
+# fixed values: inquiry bucket edges of the model frame
+INQ_EDGES = [0, 0.5, 1.0, 2, 105]
+
+
+@query("bucket_fill_999", tape_sql(
+    "SELECT loan_id, coalesce("
+    + _cut_sql("CAST(inquiries_6m AS DOUBLE)", INQ_EDGES,
+               [f"'({a:g},{b:g}]'" for a, b in zip(INQ_EDGES[:-1], INQ_EDGES[1:])])
+    + ", '999') AS inq6_bucket, coalesce(CAST(fico AS VARCHAR), '999') AS fico FROM loan_tape"))
+def q_bucket_fill_999(spark, d):
+    """Model-frame preparation: right-closed inquiry buckets (0 and NULL fall outside), then '999' for missing."""
+    t = clean.cut_bins(labelled_tape(spark, d), "inquiries_6m", INQ_EDGES, out="inq6_bucket")
+    return clean.fill_const(t, {"inq6_bucket": "999", "fico": "999"}).select("loan_id", "inq6_bucket", "fico")

@@ -3,11 +3,11 @@
 Curves are exact (every distinct score is a threshold).  Rows are first
 aggregated per distinct score (partial aggregation, so a score shared by a
 third of the rows is one row per task).  The running totals in descending
-score order are a distributed prefix sum: scores are cut into equal-width
-ranges between the (deterministic) minimum and maximum; range totals (a
-table of ``n_ranges`` rows) give each range's offset; a window partitioned
-by range adds the running sum inside it.  No window runs over the whole
-table in one task.
+score order are a distributed prefix sum: up to ``SINGLE_LIMIT`` distinct
+scores a curve is one window partition; beyond that the scores are cut into
+balanced ranges (approximate-quantile cut points, ``operators.ranges``),
+range totals give each range's offset and a window partitioned by range adds
+the running sum inside it.  No window runs over a large curve in one task.
 
 Areas need no ordering beyond those running totals: the previous point of a
 threshold is its running total minus its own counts, so each trapezoid is a
@@ -22,8 +22,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewise.functions.exprs import as_column
+from tapewise.operators.ranges import assign_ranges, n_ranges_for
 
-DEFAULT_RANGES = 256
+# distinct thresholds per curve up to which one window partition computes the running sums
+SINGLE_LIMIT = 1_000_000
+DEFAULT_RANGES = None  # adaptive
 
 
 def score_counts(df: DataFrame, label: str, score: str | Column, by: Sequence[str] = ()) -> DataFrame:
@@ -38,30 +41,32 @@ def score_counts(df: DataFrame, label: str, score: str | Column, by: Sequence[st
         F.sum(F.when(F.col("__y") == 1, 0).otherwise(1)).cast("bigint").alias("neg"))
 
 
-def _running_desc(counts: DataFrame, cols: Sequence[str], n_ranges: int, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``cum_<c>`` = sum of ``c`` over all thresholds >= this one (within each group)."""
+def _running_desc(counts: DataFrame, cols: Sequence[str], n_ranges: int | None, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``cum_<c>`` = sum of ``c`` over all thresholds >= this one (within each group).
+
+    ``n_ranges=None`` counts the distinct thresholds per group (one small job):
+    up to ``SINGLE_LIMIT`` of them a group is one window partition, beyond it
+    balanced ranges (``operators.ranges``) split the running sum.
+    """
     by = list(by)
-    stats = counts.groupBy(*by).agg(F.min("threshold").alias("__lo"), F.max("threshold").alias("__hi"))
-    span = F.col("__hi") - F.col("__lo")
-    rng = F.least(
-        F.coalesce(F.floor(F.try_divide((F.col("__hi") - F.col("threshold")) * F.lit(float(n_ranges)), span)), F.lit(0)),
-        F.lit(n_ranges - 1)).cast("int")
-    # stats has one row per curve: broadcast, so no curve's scores are funnelled into one task
-    c = (counts.crossJoin(F.broadcast(stats)) if not by else counts.join(F.broadcast(stats), by)) \
-        .withColumn("__r", rng).drop("__lo", "__hi")
+    if n_ranges is None:
+        sizes = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("d")).collect()  # one row per curve
+        d = max((r["d"] for r in sizes), default=0)
+        n_ranges = 1 if d <= SINGLE_LIMIT else n_ranges_for(d)
+    c = assign_ranges(counts, by, "threshold", n_ranges)  # 0 = lowest thresholds
     totals = c.groupBy(*by, "__r").agg(*[F.sum(x).alias(f"__t_{x}") for x in cols])
-    before = Window.partitionBy(*by).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    higher = Window.partitionBy(*by).orderBy(F.desc("__r")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "__r",
-                            *[F.coalesce(F.sum(f"__t_{x}").over(before), F.lit(0)).alias(f"__o_{x}") for x in cols])
-    # offsets has at most n_ranges rows per group: a parameter, not the data, bounds it
-    j = c.join(F.broadcast(offsets) if not by else offsets, [*by, "__r"])
+                            *[F.coalesce(F.sum(f"__t_{x}").over(higher), F.lit(0)).alias(f"__o_{x}") for x in cols])
+    # offsets: one row per (curve, range), bounded by the curve count and the range count
+    j = c.join(F.broadcast(offsets), [*by, "__r"])
     within = Window.partitionBy(*by, "__r").orderBy(F.desc("threshold")) \
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return j.select(*by, "threshold", *cols,
                     *[(F.col(f"__o_{x}") + F.sum(x).over(within)).alias(f"cum_{x}") for x in cols])
 
 
-def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,
                       by: Sequence[str] = ()) -> DataFrame:
     """``[by...], threshold, pos, neg, tp, fp, P, N`` where tp/fp count rows with score >= threshold."""
     by = list(by)
@@ -72,7 +77,7 @@ def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges:
     return run.crossJoin(F.broadcast(tot)) if not by else run.join(F.broadcast(tot), by)
 
 
-def roc_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+def roc_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,
               by: Sequence[str] = ()) -> DataFrame:
     """``[by...], threshold, tp, fp, tpr, fpr`` for every distinct score (origin implied)."""
     c = cumulative_counts(df, label, score, n_ranges, by)
@@ -81,7 +86,7 @@ def roc_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DE
                     F.try_divide(F.col("fp").cast("double"), F.col("N").cast("double")).alias("fpr"))
 
 
-def pr_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+def pr_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,
              by: Sequence[str] = ()) -> DataFrame:
     """``[by...], threshold, tp, fp, precision, recall`` (precision at its own threshold)."""
     c = cumulative_counts(df, label, score, n_ranges, by)
@@ -90,7 +95,7 @@ def pr_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEF
                     F.try_divide(F.col("tp").cast("double"), F.col("P").cast("double")).alias("recall"))
 
 
-def threshold_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+def threshold_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,
                     by: Sequence[str] = ()) -> DataFrame:
     return pr_curve(df, label, score, n_ranges, by).select(*by, "threshold", "precision", "recall")
 
@@ -99,12 +104,12 @@ def curve_drop_na(curve: DataFrame, col: str) -> DataFrame:
     return curve.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
 
 
-def _segments(df: DataFrame, label: str, score: str | Column, n_ranges: int, by: Sequence[str]) -> DataFrame:
+def _segments(df: DataFrame, label: str, score: str | Column, n_ranges: int | None, by: Sequence[str]) -> DataFrame:
     c = cumulative_counts(df, label, score, n_ranges, by)
     return c.withColumns({"__ptp": F.col("tp") - F.col("pos"), "__pfp": F.col("fp") - F.col("neg")})
 
 
-def roc_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+def roc_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,
             by: Sequence[str] = ()) -> DataFrame:
     """Exact trapezoid area under the ROC curve (ties handled as one threshold): ``[by...], auc_roc``."""
     s = _segments(df, label, score, n_ranges, by)
@@ -114,7 +119,7 @@ def roc_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFA
     return s.groupBy(*by).agg(F.sum(area).alias("auc_roc"))
 
 
-def pr_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+def pr_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,
            by: Sequence[str] = ()) -> DataFrame:
     """Trapezoid area under precision-recall with three anchors, one row per group:
 
@@ -136,7 +141,7 @@ def pr_auc(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAU
         F.sum(F.when(first, seg(prec)).otherwise(seg(prev_prec))).alias("pr_auc_first"))
 
 
-def average_precision(df: DataFrame, label: str, score: str | Column, n_ranges: int = DEFAULT_RANGES,
+def average_precision(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,
                       by: Sequence[str] = ()) -> DataFrame:
     """``[by...], average_precision`` = sum over thresholds of (recall step) x precision."""
     s = _segments(df, label, score, n_ranges, by)

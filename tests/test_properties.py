@@ -56,3 +56,28 @@ def test_auc_matches_mann_whitney(spark, pairs):
     else:
         wins = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg)
         assert got == pytest.approx(wins / (len(pos) * len(neg)))
+
+
+@pytest.mark.parametrize("n_cuts", [5, 31, 255, 1500])
+def test_multi_level_search_equals_bisect(spark, n_cuts):
+    """count_below over 1, 2 and 3 search levels equals a binary search."""
+    import bisect
+
+    from tapewise.operators.ranges import _levels, count_below
+
+    rng = np.random.default_rng(n_cuts)
+    cuts = sorted(rng.normal(0, 1, n_cuts).round(2).tolist())  # rounded: ties among cuts
+    vals = rng.normal(0, 1.2, 400).round(2).tolist() + cuts[:20]
+    levels = _levels(cuts)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    lv = [F.array(*[F.lit(float(c)) for c in arr]).cast("array<double>") for arr in levels]
+    got = [r[0] for r in df.select(count_below(F.col("v"), lv)).collect()]
+    assert got == [bisect.bisect_left(cuts, v) for v in vals]
+
+
+def test_curves_by_group_with_forced_ranges(spark):
+    rows = [(g, (i * 37 % 101) / 101.0, (i * 7) % 3 == 0) for g in ("a", "b") for i in range(300)]
+    df = spark.createDataFrame([(g, s, int(y)) for g, s, y in rows], "g string, s double, y int")
+    one = {r.g: r.auc_roc for r in C.roc_auc(df, "y", "s", n_ranges=1, by=["g"]).collect()}
+    many = {r.g: r.auc_roc for r in C.roc_auc(df, "y", "s", n_ranges=9, by=["g"]).collect()}
+    assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k]) for k in one)

@@ -259,3 +259,26 @@ def test_quantile_paths_agree(spark):
     for i, w in enumerate(want):
         assert small[f"q{i}"] == pytest.approx(w, abs=1e-9)
         assert dist[f"q{i}"] == pytest.approx(w, abs=1e-9)
+
+
+def test_portfolio_from_selection_modes(spark):
+    t = labelled_tape(spark, SF001)
+    sel = spark.createDataFrame([("grade", "1"), ("grade", "2"), ("purpose", "BUILDING")], "field string, value string")
+    all_df = PF.portfolio_from_selection(t, sel, ["grade", "purpose"], mode="all")
+    any_df = PF.portfolio_from_selection(t, sel, ["grade", "purpose"], mode="any")
+    g = F.col("grade").isin("1", "2")
+    p = F.col("purpose") == "BUILDING"
+    assert all_df.count() == t.filter(g & p).count()
+    assert any_df.count() == t.filter(g | p).count()
+    assert any_df.columns == t.columns
+
+
+def test_edit_criteria_and_union_dedup(spark):
+    crit = {"Grade": ["A", "B"], "State": ["CA"], "Home": ["OWN"]}
+    out = PF.edit_criteria(crit, drop=["Home"], override={"Grade": ["B", "C", "E"]})
+    assert out == {"Grade": ["B", "C", "E"], "State": ["CA"]}
+    t = labelled_tape(spark, SF001).select("loan_id", "grade", "purpose")
+    parts = [t.filter(F.col("grade") == "1"), t.filter(F.col("purpose") == "BUILDING"), t.filter(F.col("grade") == "1")]
+    u = PF.union_dedup(parts, "loan_id")
+    assert u.count() == u.select("loan_id").distinct().count() == t.filter(
+        (F.col("grade") == "1") | (F.col("purpose") == "BUILDING")).count()

@@ -100,7 +100,26 @@ def threshold_curve(df: DataFrame, label: str, score: str | Column, n_ranges: in
     return pr_curve(df, label, score, n_ranges, by).select(*by, "threshold", "precision", "recall")
 
 
+def with_origin(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Prepend the point above the highest score (nothing predicted positive) to each curve,
+    as curve libraries report it: tp = fp = 0, recall/tpr/fpr 0 and precision undefined (NULL)."""
+    by = list(by)
+    origins = curve.select(*by).distinct() if by else curve.sparkSession.range(1).select()
+    fills = {}
+    for f in curve.schema.fields:
+        if f.name in by:
+            continue
+        if f.name == "threshold":
+            fills[f.name] = F.lit(float("inf"))
+        elif f.name == "precision":
+            fills[f.name] = F.lit(None).cast("double")
+        else:
+            fills[f.name] = F.lit(0).cast(f.dataType)
+    return curve.unionByName(origins.select(*by, *[v.alias(k) for k, v in fills.items()]))
+
+
 def curve_drop_na(curve: DataFrame, col: str) -> DataFrame:
+    """Drop points where ``col`` is undefined (NULL or NaN)."""
     return curve.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
 
 

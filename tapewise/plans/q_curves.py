@@ -151,3 +151,11 @@ def q_imbalanced_curve_areas(spark, d):
     j = read_table(spark, d, "labels").join(read_table(spark, d, "documents").select("doc_id", "n_chars"), "doc_id")
     j = j.select(F.col("quality").alias("y"), F.col("n_chars").cast("double").alias("s"))
     return C.roc_auc(j, "y", "s").crossJoin(C.pr_auc(j, "y", "s")).crossJoin(C.average_precision(j, "y", "s"))
+
+
+@query("curve_drop_na", tape_sql(
+    CURVE_CTE + f"SELECT threshold, tp, fp, {r6('tp / (tp + fp)')} AS precision, {r6('tp / P')} AS recall FROM cum"))
+def q_curve_drop_na(spark, d):
+    """A precision-recall curve reported with its origin point (precision undefined), which is then dropped."""
+    curve = C.with_origin(C.pr_curve(labelled_tape(spark, d), "default_flag", "apr"))
+    return C.curve_drop_na(curve, "precision")

@@ -282,3 +282,12 @@ def test_edit_criteria_and_union_dedup(spark):
     u = PF.union_dedup(parts, "loan_id")
     assert u.count() == u.select("loan_id").distinct().count() == t.filter(
         (F.col("grade") == "1") | (F.col("purpose") == "BUILDING")).count()
+
+
+def test_origin_point_is_dropped_as_undefined(spark):
+    df = spark.createDataFrame(CURVE_ROWS, "s double, y int")
+    curve = C.pr_curve(df, "y", "s")
+    full = C.with_origin(curve)
+    assert full.count() == curve.count() + 1
+    assert full.filter(F.col("precision").isNull()).first().recall == 0.0
+    assert sorted(C.curve_drop_na(full, "precision").collect()) == sorted(curve.collect())

@@ -315,3 +315,10 @@ def q_bucket_fill_999(spark, d):
     """Model-frame preparation: right-closed inquiry buckets (0 and NULL fall outside), then '999' for missing."""
     t = clean.cut_bins(labelled_tape(spark, d), "inquiries_6m", INQ_EDGES, out="inq6_bucket")
     return clean.fill_const(t, {"inq6_bucket": "999", "fico": "999"}).select("loan_id", "inq6_bucket", "fico")
+
+
+@query("filter_amount_range", tape_sql(
+    "SELECT loan_id, loan_amount FROM loan_tape WHERE loan_amount >= 100000 AND loan_amount <= 200000"))
+def q_filter_amount_range(spark, d):
+    """A range on a source column: Catalyst pushes it through the projection into the orders scan."""
+    return clean.filter_range(labelled_tape(spark, d), "loan_amount", 100000.0, 200000.0).select("loan_id", "loan_amount")

@@ -19,3 +19,9 @@ def test_scan_is_pruned_and_filtered(spark):
     assert "l_shipdate" not in plan and "l_comment" not in plan
     read = QUERIES["read_tape"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,o_orderstatus:string>" in read
+
+
+def test_range_filter_reaches_parquet_scan(spark):
+    df = QUERIES["filter_amount_range"](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThanOrEqual(o_totalprice,100000.0)" in plan

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewise.functions.exprs import as_column
-from tapewise.operators.ranges import assign_ranges, n_ranges_for
+from tapewise.operators.ranges import assign_ranges, join_on_keys, n_ranges_for
 
 # distinct thresholds per curve up to which one window partition computes the running sums
 SINGLE_LIMIT = 1_000_000
@@ -59,7 +59,7 @@ def _running_desc(counts: DataFrame, cols: Sequence[str], n_ranges: int | None,
     offsets = totals.select(*by, "__r",
                             *[F.coalesce(F.sum(f"__t_{x}").over(higher), F.lit(0)).alias(f"__o_{x}") for x in cols])
     # offsets: one row per (curve, range), bounded by the curve count and the range count
-    j = c.join(F.broadcast(offsets), [*by, "__r"])
+    j = join_on_keys(c, F.broadcast(offsets), [*by, "__r"])
     within = Window.partitionBy(*by, "__r").orderBy(F.desc("threshold")) \
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return j.select(*by, "threshold", *cols,
@@ -74,7 +74,7 @@ def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges:
     run = _running_desc(counts, ["pos", "neg"], n_ranges, by)
     run = run.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
     tot = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return run.crossJoin(F.broadcast(tot)) if not by else run.join(F.broadcast(tot), by)
+    return join_on_keys(run, F.broadcast(tot), by)
 
 
 def roc_curve(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,

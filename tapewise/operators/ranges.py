@@ -57,6 +57,19 @@ def count_below(v: Column, levels: Sequence[Column]) -> Column:
     return k
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` that matches NULL to NULL (group keys may be NULL)."""
+    keys = list(keys)
+    if not keys:
+        return left.crossJoin(right)
+    renamed = right.withColumnsRenamed({k: f"__jk_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"__jk_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond).drop(*[f"__jk_{k}" for k in keys])
+
+
 def assign_ranges(df: DataFrame, keys: Sequence[str], value: str, n_ranges: int,
                   accuracy: int | None = None, out: str = "__r") -> DataFrame:
     """Append the range index (0 = lowest values) of ``value`` within its group."""
@@ -77,6 +90,6 @@ def assign_ranges(df: DataFrame, keys: Sequence[str], value: str, n_ranges: int,
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [f"__lv{i} array<double>" for i in range(depth)])
     table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))  # groups x ranges doubles
-    j = df.join(table, keys) if keys else df.crossJoin(table)
+    j = join_on_keys(df, table, keys)
     lv = [F.col(f"__lv{i}") for i in range(depth)]
     return j.withColumn(out, count_below(F.col(value), lv)).drop(*[f"__lv{i}" for i in range(depth)])

@@ -81,3 +81,16 @@ def test_curves_by_group_with_forced_ranges(spark):
     one = {r.g: r.auc_roc for r in C.roc_auc(df, "y", "s", n_ranges=1, by=["g"]).collect()}
     many = {r.g: r.auc_roc for r in C.roc_auc(df, "y", "s", n_ranges=9, by=["g"]).collect()}
     assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k]) for k in one)
+
+
+def test_null_group_keys_survive_both_quantile_paths(spark):
+    rows = [(None if i % 5 == 0 else "a", float(i % 37)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, value double").withColumn("field", F.lit("x"))
+    fast = {r.g: (r.n, r.q0) for r in quantiles(df, ["field", "g"], "value", [0.5]).collect()}
+    dist = {r.g: (r.n, r.q0) for r in quantiles(df, ["field", "g"], "value", [0.5], map_limit=0, n_ranges=4).collect()}
+    assert fast == dist and None in fast and fast[None][0] == 100
+    c = spark.createDataFrame([(None if i % 4 == 0 else "m", (i * 13 % 29) / 29.0, i % 2) for i in range(200)],
+                              "g string, s double, y int")
+    a1 = {r.g: r.auc_roc for r in C.roc_auc(c, "y", "s", by=["g"]).collect()}
+    a2 = {r.g: r.auc_roc for r in C.roc_auc(c, "y", "s", by=["g"], n_ranges=5).collect()}
+    assert a1.keys() == a2.keys() == {None, "m"} and all(a1[k] == pytest.approx(a2[k]) for k in a1)

@@ -69,8 +69,12 @@ def tree_for(param: str, value, n_train: int, seed: int = 10, base: Mapping | No
     * ``min_samples_leaf`` (fraction f): ``minInstancesPerNode = ceil(f n)``;
     * ``max_depth``: ``maxDepth`` (Spark allows at most 30);
     * ``max_features`` (m): a one-tree forest without bootstrap considering m features per split.
+
+    Parameters not being swept keep sklearn's defaults where Spark can express
+    them: full depth (``maxDepth=30``, Spark's limit) and single-row leaves.
     """
     kw = dict(base or {})
+    kw.setdefault("maxDepth", 30)  # sklearn trees grow fully unless max_depth is set; 30 is Spark's limit
     if param == "min_samples_split":
         kw["minInstancesPerNode"] = max(kw.get("minInstancesPerNode", 1), int(math.ceil(float(value) * n_train / 2.0)))
     elif param == "min_samples_leaf":

@@ -29,3 +29,24 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["field", "value", "default_rate", "avg_apr", "freq", "def_adj_return"]
+
+
+# the query keys planned in SURVEY §7.6
+PLANNED = """default_label drop_sparse_columns fill_const fill_mean drop_incomplete filter_not_blank isin_filter
+one_hot_flags floor_zero log_append label_encode cut_bins equal_width_bins map_values region_lookup lump_rare
+format_percent value_counts describe describe_by n_distinct crosstab_margins default_rate_by mean_by_ordered histogram
+histogram_by stacked_amount stacked_count share_by box_stats scatter_sample trend_line cramers_v_py cramers_v_r
+point_biserial_py point_biserial_r corr_matrix def_adj_rets return_by_category cutoff_sweep select_alpha_values
+portfolio_any portfolio_all union_dedup portfolio_metrics membership_flag criteria_dummies random_split stratified_split
+kfold repeated_kfold complement_split robust_scale threshold_predict confusion_margins accuracy_stats roc_curve pr_curve
+roc_auc pr_auc average_precision threshold_curve threshold_crossing majority_baseline argmax_row knn_classify
+gaussian_nb_stats logistic random_forest feature_importance gradient_boosting ada_boost decision_tree linear_svm
+classification_scores sweep tune_and_refit compare_models roc_comp nested_feature_models""".split()
+
+# planned with an oracle (the O rows)
+PLANNED_O = set(PLANNED[:PLANNED.index("logistic")])
+
+
+def test_planned_queries_are_registered():
+    assert set(PLANNED) <= set(QUERIES), sorted(set(PLANNED) - set(QUERIES))
+    assert PLANNED_O <= set(ORACLES), sorted(PLANNED_O - set(ORACLES))

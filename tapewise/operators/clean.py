@@ -184,7 +184,8 @@ def map_values(df: DataFrame, col: str, mapping, out: str | None = None) -> Data
     out = out or f"{col}_code"
     if isinstance(mapping, DataFrame):
         k, v = mapping.columns[:2]
-        m = mapping.select(F.col(k).alias("__mk"), F.col(v).alias(out))
+        # one value per key, so the recode never multiplies rows
+        m = mapping.select(F.col(k).alias("__mk"), F.col(v).alias(out)).dropDuplicates(["__mk"])
         return df.join(m, F.col(col) == F.col("__mk"), "left").drop("__mk")
     pairs = []
     for key, val in mapping.items():

@@ -291,3 +291,12 @@ def test_origin_point_is_dropped_as_undefined(spark):
     assert full.count() == curve.count() + 1
     assert full.filter(F.col("precision").isNull()).first().recall == 0.0
     assert sorted(C.curve_drop_na(full, "precision").collect()) == sorted(curve.collect())
+
+
+def test_map_values_dataframe_and_dict(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "z")], "id int, c string")
+    m = spark.createDataFrame([("a", 10), ("b", 20), ("b", 20)], "k string, v int")
+    got = {r.id: r.c_code for r in clean.map_values(df, "c", m).collect()}
+    assert got == {1: 10, 2: 20, 3: None}
+    got2 = {r.id: r.c_code for r in clean.map_values(df, "c", {"a": 10, "b": 20}).collect()}
+    assert got2 == got

@@ -5,7 +5,9 @@ projection, except where a statistic of the whole column is needed
 (``fill_mean``, ``drop_sparse_columns``, ``equal_width_bins``,
 ``lump_rare``, ``label_encode``).  Those compute the statistic as a one-row
 (or one-row-per-category) aggregate and join it back, so the plan stays one
-lazy DataFrame and no value is carried through the driver.
+lazy DataFrame.  Only per-column metadata reaches the driver: the
+missing-value report of ``drop_sparse_columns`` (one row per column) and
+the level list of ``label_encode``.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ def project(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def filter_range(df: DataFrame, col: str, lo=None, hi=None) -> DataFrame:
-    """Inclusive range mask; pushed into the Parquet scan by Catalyst."""
+    """Inclusive range mask; Catalyst pushes it into the Parquet scan when the column maps to a source column."""
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (F.col(col) >= F.lit(lo))

@@ -31,7 +31,7 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,6 +55,7 @@ class FeatureSpec:
     categorical: Sequence[str] = ()
     label: str = "default_flag"
     key: str = "loan_id"
+    one_hot: bool = False  # dummy-code categoricals (formula style) instead of integer codes
     names: list[str] = field(default_factory=list)
 
     def input_names(self) -> list[str]:
@@ -62,7 +63,14 @@ class FeatureSpec:
 
 
 def feature_pipeline(spec: FeatureSpec, out: str = FEATURES) -> Pipeline:
-    """Mean-impute numerics, index categoricals (alphabetical, NULL/unseen -> own code), assemble."""
+    """Mean-impute numerics, index categoricals (alphabetical, NULL/unseen -> own code), assemble.
+
+    With ``spec.one_hot`` the indexed categoricals are dummy-coded, as a model
+    formula expands factors: one column per observed level (the same column
+    space as baseline coding, so the same fitted predictions) plus the
+    indexer's slot for levels unseen in training, which is zero while
+    fitting.  Otherwise they enter as integer codes (label-encoder style).
+    """
     stages = []
     num_out = [f"__num_{c}" for c in spec.numeric]
     if spec.numeric:
@@ -71,6 +79,10 @@ def feature_pipeline(spec: FeatureSpec, out: str = FEATURES) -> Pipeline:
     if spec.categorical:
         stages.append(StringIndexer(inputCols=[f"__str_{c}" for c in spec.categorical], outputCols=cat_out,
                                     stringOrderType="alphabetAsc", handleInvalid="keep"))
+    if spec.categorical and spec.one_hot:
+        oh_out = [f"__oh_{c}" for c in spec.categorical]
+        stages.append(OneHotEncoder(inputCols=cat_out, outputCols=oh_out, dropLast=True, handleInvalid="keep"))
+        cat_out = oh_out
     stages.append(VectorAssembler(inputCols=[*num_out, *cat_out], outputCol=out, handleInvalid="keep"))
     return Pipeline(stages=stages)
 

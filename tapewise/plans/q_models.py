@@ -24,8 +24,14 @@ NUMERIC = ["apr", "fico", "inquiries_6m", "annual_income", "dti", "loan_amount",
 CATEGORICAL = ["purpose", "home_ownership", "grade", "modified_flag"]
 
 
-def _spec(numeric=NUMERIC, categorical=CATEGORICAL) -> M.FeatureSpec:
-    return M.FeatureSpec(numeric=list(numeric), categorical=list(categorical), label="default_flag", key="loan_id")
+def _spec(numeric=NUMERIC, categorical=CATEGORICAL, one_hot: bool = False) -> M.FeatureSpec:
+    return M.FeatureSpec(numeric=list(numeric), categorical=list(categorical), label="default_flag", key="loan_id",
+                         one_hot=one_hot)
+
+
+def _formula_spec() -> M.FeatureSpec:
+    """The model-formula flow (factors dummy-coded), used by the three-model comparisons."""
+    return _spec(one_hot=True)
 
 
 def _parts(spark, d, spec=None):
@@ -200,7 +206,7 @@ def _comparison_models(n_train: int) -> dict:
 
 @query("roc_comp")
 def q_roc_comp(spark, d):
-    tr, te, _ = _parts(spark, d)
+    tr, te, _ = _parts(spark, d, _formula_spec())
     tr = tr.persist()
     table, _ = T.roc_comp(tr, te, _comparison_models(tr.count()), "loan_id")
     return table
@@ -219,7 +225,7 @@ def q_nested_feature_models(spark, d):
     t = random_split(labelled_tape(spark, d), "loan_id", 0.2, seed=3)
     train = t.filter(F.col("part") == "train")
     test = t.filter(F.col("part") == "test")
-    sets = {k: _spec(n, c) for k, (n, c) in FEATURE_SETS.items()}
+    sets = {k: _spec(n, c, one_hot=True) for k, (n, c) in FEATURE_SETS.items()}
     return T.nested_feature_models(train, test, sets, _comparison_models, "loan_id")
 
 
@@ -230,7 +236,7 @@ GBM_GRID = [{"maxDepth": 1, "maxIter": 50}, {"maxDepth": 2, "maxIter": 50}, {"ma
 @query("gbm_repeated_cv")
 def q_gbm_repeated_cv(spark, d):
     """Gradient boosting tuned by 4 x 4 repeated cross-validation on the training part."""
-    tr, _, _ = _parts(spark, d)
+    tr, _, _ = _parts(spark, d, _formula_spec())
     summary, _ = T.repeated_cv_search(M.gradient_boosting(step_size=0.1, seed=3), GBM_GRID, tr.persist(), "loan_id",
                                       k=4, repeats=4, seed=3, parallelism=8)
     return summary

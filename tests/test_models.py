@@ -120,3 +120,15 @@ def test_repeated_cv_search_picks_a_grid_point(planted):
     rows = {r.combo: r for r in summary.collect()}
     assert set(rows) == {0, 1} and all(r.n_folds == 4 for r in rows.values())
     assert best == {"maxDepth": 4}  # the planted interaction needs depth
+
+
+def test_one_hot_feature_pipeline(spark):
+    t = labelled_tape(spark, SF0001)
+    spec = M.FeatureSpec(numeric=["apr"], categorical=["grade", "purpose"], one_hot=True)
+    tr, _, _ = M.prepare(t, None, spec)
+    n_grade = t.select("grade").distinct().count()
+    n_purpose = t.select("purpose").distinct().count()
+    # one column per level plus StringIndexer's slot for levels unseen in training (zero while fitting)
+    assert len(tr.first().features) == 1 + (n_grade + 1) + (n_purpose + 1)
+    _, scored = M.fit_score(M.logistic("none"), tr, tr)
+    assert scored.count() == t.count()

@@ -22,11 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewise.functions.exprs import as_column
-from tapewise.operators.ranges import assign_ranges, join_on_keys, n_ranges_for
+from tapewise.operators.ranges import join_on_keys, running_sum_desc
 
-# distinct thresholds per curve up to which one window partition computes the running sums
-SINGLE_LIMIT = 1_000_000
-DEFAULT_RANGES = None  # adaptive
+DEFAULT_RANGES = None  # adaptive (see ranges.running_sum_desc)
 
 
 def score_counts(df: DataFrame, label: str, score: str | Column, by: Sequence[str] = ()) -> DataFrame:
@@ -41,37 +39,12 @@ def score_counts(df: DataFrame, label: str, score: str | Column, by: Sequence[st
         F.sum(F.when(F.col("__y") == 1, 0).otherwise(1)).cast("bigint").alias("neg"))
 
 
-def _running_desc(counts: DataFrame, cols: Sequence[str], n_ranges: int | None, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``cum_<c>`` = sum of ``c`` over all thresholds >= this one (within each group).
-
-    ``n_ranges=None`` counts the distinct thresholds per group (one small job):
-    up to ``SINGLE_LIMIT`` of them a group is one window partition, beyond it
-    balanced ranges (``operators.ranges``) split the running sum.
-    """
-    by = list(by)
-    if n_ranges is None:
-        sizes = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("d")).collect()  # one row per curve
-        d = max((r["d"] for r in sizes), default=0)
-        n_ranges = 1 if d <= SINGLE_LIMIT else n_ranges_for(d)
-    c = assign_ranges(counts, by, "threshold", n_ranges)  # 0 = lowest thresholds
-    totals = c.groupBy(*by, "__r").agg(*[F.sum(x).alias(f"__t_{x}") for x in cols])
-    higher = Window.partitionBy(*by).orderBy(F.desc("__r")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "__r",
-                            *[F.coalesce(F.sum(f"__t_{x}").over(higher), F.lit(0)).alias(f"__o_{x}") for x in cols])
-    # offsets: one row per (curve, range), bounded by the curve count and the range count
-    j = join_on_keys(c, F.broadcast(offsets), [*by, "__r"])
-    within = Window.partitionBy(*by, "__r").orderBy(F.desc("threshold")) \
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return j.select(*by, "threshold", *cols,
-                    *[(F.col(f"__o_{x}") + F.sum(x).over(within)).alias(f"cum_{x}") for x in cols])
-
-
 def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges: int | None = DEFAULT_RANGES,
                       by: Sequence[str] = ()) -> DataFrame:
     """``[by...], threshold, pos, neg, tp, fp, P, N`` where tp/fp count rows with score >= threshold."""
     by = list(by)
     counts = score_counts(df, label, score, by)
-    run = _running_desc(counts, ["pos", "neg"], n_ranges, by)
+    run = running_sum_desc(counts, "threshold", ["pos", "neg"], n_ranges, by)
     run = run.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
     tot = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return join_on_keys(run, F.broadcast(tot), by)

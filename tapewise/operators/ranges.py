@@ -21,13 +21,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEGMENT = 32
 MIN_RANGES = 256
 MAX_RANGES = SEGMENT ** 3          # three search levels
 RANGE_TARGET = 20_000_000          # distinct values per range task at most (about)
+SINGLE_LIMIT = 1_000_000           # rows per group up to which one window partition is used
 
 
 def n_ranges_for(distinct: int, minimum: int = MIN_RANGES) -> int:
@@ -93,3 +94,30 @@ def assign_ranges(df: DataFrame, keys: Sequence[str], value: str, n_ranges: int,
     j = join_on_keys(df, table, keys)
     lv = [F.col(f"__lv{i}") for i in range(depth)]
     return j.withColumn(out, count_below(F.col(value), lv)).drop(*[f"__lv{i}" for i in range(depth)])
+
+
+def running_sum_desc(df: DataFrame, order: str, cols: Sequence[str], n_ranges: int | None = None,
+                     by: Sequence[str] = ()) -> DataFrame:
+    """Add ``cum_<c>`` = sum of ``c`` over all rows of the group whose ``order`` is >= this row's.
+
+    ``df`` holds one row per distinct ``order`` value and group (NULL ``order``
+    not allowed).  ``n_ranges=None`` counts the rows per group (one small job):
+    up to ``SINGLE_LIMIT`` a group is one window partition, beyond it balanced
+    ranges split the running sum into range offsets plus a window per range.
+    """
+    by = list(by)
+    if n_ranges is None:
+        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("d")).collect()  # one row per group
+        d = max((r["d"] for r in sizes), default=0)
+        n_ranges = 1 if d <= SINGLE_LIMIT else n_ranges_for(d)
+    c = assign_ranges(df, by, order, n_ranges)  # 0 = lowest values
+    totals = c.groupBy(*by, "__r").agg(*[F.sum(x).alias(f"__t_{x}") for x in cols])
+    higher = Window.partitionBy(*by).orderBy(F.desc("__r")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "__r",
+                            *[F.coalesce(F.sum(f"__t_{x}").over(higher), F.lit(0)).alias(f"__o_{x}") for x in cols])
+    # offsets: one row per (group, range), bounded by the group count and the range count
+    j = join_on_keys(c, F.broadcast(offsets), [*by, "__r"])
+    within = Window.partitionBy(*by, "__r").orderBy(F.desc(order)) \
+                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keep = [f for f in df.columns]
+    return j.select(*keep, *[(F.col(f"__o_{x}") + F.sum(x).over(within)).alias(f"cum_{x}") for x in cols])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tapewise.operators.profile import unpivot
 from tapewise.operators.quantiles import wide_quantiles
+from tapewise.operators.ranges import running_sum_desc
 
 
 def _ret(avg_apr, rate):
@@ -78,21 +79,26 @@ def return_by_category(df: DataFrame, cols: Sequence[str], label: str = "default
 
 
 def select_alpha_values(df: DataFrame, cols: Sequence[str], share: float = 0.2, label: str = "default_flag",
-                        apr: str = "apr", order_digits: int = 9) -> DataFrame:
+                        apr: str = "apr", order_digits: int = 9, n_ranges: int | None = None) -> DataFrame:
     """Per field, values in descending return order while the frequency total
     before the value is at most ``floor(n x share)`` (n = all rows).
 
     Ties in return (after rounding to ``order_digits`` places, which removes
-    float noise) are broken by value ascending.  The window is partitioned by
-    field over the aggregated table (one row per category value).
+    float noise) are broken by value ascending; NULL returns come last.  The
+    frequency before a value is the total of strictly higher returns (a
+    distributed running sum over the distinct returns, ``ranges.running_sum_desc``)
+    plus the tied values before it (a window over the ties only).
     Returns ``field, value, def_adj_return, freq, freq_before``.
     """
-    rets = return_by_category(df, cols, label, apr)
+    rets = return_by_category(df, cols, label, apr).withColumn(
+        "__key", F.coalesce(F.round("def_adj_return", order_digits), F.lit(float("-inf"))))
+    per_key = rets.groupBy("field", "__key").agg(F.sum("freq").alias("__tot"))
+    run = running_sum_desc(per_key, "__key", ["__tot"], n_ranges, by=["field"])
+    higher = run.select("field", "__key", (F.col("cum___tot") - F.col("__tot")).alias("__higher"))
+    ties = Window.partitionBy("field", "__key").orderBy(F.asc("value")).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rets.join(higher, ["field", "__key"]).withColumn(
+        "freq_before", (F.col("__higher") + F.coalesce(F.sum("freq").over(ties), F.lit(0))).cast("bigint"))
     total = df.agg(F.floor(F.count(F.lit(1)) * F.lit(float(share))).alias("__quota"))
-    w = (Window.partitionBy("field")
-         .orderBy(F.desc(F.round("def_adj_return", order_digits)), F.asc("value"))
-         .rowsBetween(Window.unboundedPreceding, -1))
-    ranked = rets.withColumn("freq_before", F.coalesce(F.sum("freq").over(w), F.lit(0)).cast("bigint"))
     return (ranked.crossJoin(F.broadcast(total))
             .filter(F.col("freq_before") <= F.col("__quota"))
             .select("field", "value", "def_adj_return", "freq", "freq_before"))

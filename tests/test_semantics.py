@@ -300,3 +300,11 @@ def test_map_values_dataframe_and_dict(spark):
     assert got == {1: 10, 2: 20, 3: None}
     got2 = {r.id: r.c_code for r in clean.map_values(df, "c", {"a": 10, "b": 20}).collect()}
     assert got2 == got
+
+
+def test_select_alpha_values_ranged_equals_single(spark):
+    t = labelled_tape(spark, SF001)
+    cols = ["grade", "purpose", "state", "home_ownership"]
+    a = sorted(R.select_alpha_values(t, cols, share=0.3).collect())
+    b = sorted(R.select_alpha_values(t, cols, share=0.3, n_ranges=4).collect())
+    assert a == b and len(a) > 0

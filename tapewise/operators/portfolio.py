@@ -9,6 +9,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapewise.session import checkpoint_dir
+
 
 def any_of(predicates: Sequence[Column]) -> Column:
     return reduce(or_, predicates)
@@ -46,11 +48,14 @@ def portfolio_from_selection(df: DataFrame, selection: DataFrame, fields: Sequen
     """Portfolio from a ``(field, value)`` selection table (e.g. ``select_alpha_values``).
 
     ``mode='all'``: a chain of left-semi joins, one per field (the selection
-    is at most one row per category value; the planner broadcasts it when
-    its size estimate is small).  ``mode='any'``: rows matching any field,
+    is at most one row per category value, checkpointed once; the planner
+    broadcasts it when its size estimate is small).  ``mode='any'``: rows matching any field,
     via a flag per field from left joins, without duplicating rows.
     """
-    sel = selection.select(F.col("field").alias("__f"), F.col("value").alias("__v"))
+    # the selection (one row per chosen category value) is read once per field: freeze it with a
+    # reliable checkpoint so its plan runs once instead of once per field
+    checkpoint_dir(df.sparkSession)
+    sel = selection.select(F.col("field").alias("__f"), F.col("value").alias("__v")).checkpoint(eager=True)
     if mode == "all":
         out = df
         for f in fields:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tapewise.operators.profile import unpivot
 from tapewise.operators.quantiles import wide_quantiles
-from tapewise.operators.ranges import running_sum_desc
+from tapewise.operators.ranges import SINGLE_LIMIT, running_sum_desc
 
 
 def _ret(avg_apr, rate):
@@ -90,6 +90,12 @@ def select_alpha_values(df: DataFrame, cols: Sequence[str], share: float = 0.2,
     plus the tied values before it (a window over the ties only).
     Returns ``field, value, def_adj_return, freq, freq_before``.
     """
+    if n_ranges is None:
+        # distinct returns per field <= distinct values of the field: one HyperLogLog pass over the
+        # raw columns bounds them without running the per-category pipeline
+        card = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"__nd{i}") for i, c in enumerate(cols)]).first()
+        if max(card) + 1 <= 0.9 * SINGLE_LIMIT:
+            n_ranges = 1
     rets = return_by_category(df, cols, label, apr).withColumn(
         "__key", F.coalesce(F.round("def_adj_return", order_digits), F.lit(float("-inf"))))
     per_key = rets.groupBy("field", "__key").agg(F.sum("freq").alias("__tot"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewise.functions.exprs import as_column
-from tapewise.operators.ranges import join_on_keys, running_sum_desc
+from tapewise.operators.ranges import SINGLE_LIMIT, join_on_keys, running_sum_desc
 
 DEFAULT_RANGES = None  # adaptive (see ranges.running_sum_desc)
 
@@ -43,6 +43,13 @@ def cumulative_counts(df: DataFrame, label: str, score: str | Column, n_ranges:
                       by: Sequence[str] = ()) -> DataFrame:
     """``[by...], threshold, pos, neg, tp, fp, P, N`` where tp/fp count rows with score >= threshold."""
     by = list(by)
+    if n_ranges is None:
+        # distinct scores per curve from one HyperLogLog pass over the scored rows (no extra
+        # aggregation of the scores): small curves run as one window partition each
+        s = as_column(score).cast("double")
+        nd = df.groupBy(*by).agg(F.approx_count_distinct(s, 0.02).alias("nd")).collect()  # one row per curve
+        if max((r["nd"] for r in nd), default=0) <= 0.9 * SINGLE_LIMIT:
+            n_ranges = 1
     counts = score_counts(df, label, score, by)
     run = running_sum_desc(counts, "threshold", ["pos", "neg"], n_ranges, by)
     run = run.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapewise.llm import decontaminate, packing, toxicity
+from tapewise.llm import decontaminate, jaccard, linededup, packing, toxicity
 from tapewise.llm.common import materialize, table
 
 
@@ -22,6 +22,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document has; those of which nothing is left go."""
+    return linededup.drop_repeated(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near copies."""
+    return jaccard.keep_one(docs)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -32,7 +42,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("decontamination", drop_leaks), ("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("line dedup", drop_repeated_lines), ("near copies", drop_near_copies),
+          ("decontamination", drop_leaks), ("packing", pack)]
 
 #: The first stage learns a model, which SQL cannot express.
 ORACLE_SQL = None
@@ -41,5 +52,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

@@ -7,10 +7,12 @@ ascending and descending hash and a permuted hash, each with frequent tokens
 last, so that boilerplate is in no prefix unless a text has little else.
 
 1. Texts with equal sets are one node; one representative goes on.
-2. *Stars*: representatives with the same first token under one of the orders
-   are compared with one of them; verified links form components.
+2. *Stars*: representatives with the same least token under one of four plain
+   hash orders are compared with the one of them that holds the largest share
+   of frequent tokens (in a group of near copies that is the one closest to
+   all others); verified links form components.
 3. *Prefix indexes*: the prefix tokens under the first and second order are
-   dealt to buckets as packed arrays.  A node that shares a token with another
+   dealt to buckets as packed arrays.  A node that shares a token with a larger
    component probes that component; only probes found under **both** orders
    go on, and a pair must also share a prefix token under the third.
 4. Remaining pairs are verified on their whole sets; the links of both steps
@@ -100,6 +102,12 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def shares_one(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets have a common token."""
+    place = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    return bool((b[place] == a).any())
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
@@ -109,18 +117,22 @@ def permuted(tokens: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(29))
 
 
-def prefixes(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> list[np.ndarray]:
-    """The prefix under each of the three orders; frequent tokens (sorted array) come last."""
+def is_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent) or not len(tokens):
+        return np.zeros(len(tokens), bool)
+    place = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+    return frequent[place] == tokens
+
+
+def prefix(tokens: np.ndarray, late: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
+    """The prefix of a sorted set under one of the three orders; tokens marked late come last."""
     p = prefix_length(len(tokens), percent)
-    if len(frequent) and len(tokens):
-        place = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        late = frequent[place] == tokens
-    else:
-        late = np.zeros(len(tokens), bool)
     rare, common = tokens[~late], tokens[late]
-    third = [x[np.argsort(permuted(x), kind="stable")] for x in (rare, common)]
-    ways = ((rare, common), (rare[::-1], common[::-1]), third)
-    return [np.concatenate((a[:p], b[:max(0, p - len(a))])) for a, b in ways]
+    if order == 1:
+        rare, common = rare[::-1], common[::-1]
+    elif order == 2:
+        rare, common = (x[np.argsort(permuted(x), kind="stable")] for x in (rare, common))
+    return np.concatenate((rare[:p], common[:max(0, p - len(rare))]))
 
 
 def _texts(column):
@@ -150,25 +162,28 @@ def _frequent(batches):
         yield counted()
 
 
-SET_SCHEMA = ("doc_id long, n_shingles long, same binary, first1 long, first2 long, first3 long, first4 long, "
+SET_SCHEMA = ("doc_id long, n_shingles long, same binary, share double, first1 long, first2 long, first3 long, first4 long, "
               "prefix1 binary, prefix2 binary")
 
 
 def _describe(batches, frequent: np.ndarray, percent: int):
-    """Per text: set size, a 128-bit hash of its set, first tokens under the orders, and two prefixes of 40-bit tokens."""
+    """Per text: set size, a 128-bit hash of its set, share of frequent tokens, least tokens, and two prefixes of 40-bit tokens."""
     names = [x.split()[0] for x in SET_SCHEMA.split(", ")]
     for batch in batches:
         out = [[] for _ in names[1:]]
         for text in _texts(batch.column(1)):
             tokens = shingles(text)
-            one, two, three = prefixes(tokens, frequent, percent)
-            some = len(tokens) > 0
-            again = one[np.argmin(permuted(one ^ FACTOR))] if some else U(0)
-            firsts = [int(x.view("i8")) if some else None for x in ((one[0], two[0], three[0], again) if some else (U(0),) * 4)]
-            row = [len(tokens), xxhash.xxh3_128_digest(tokens.tobytes()) if some else None, *firsts, *map(packed, (one, two))]
+            late = is_frequent(tokens, frequent)
+            row = [len(tokens), None, 0.0, None, None, None, None, b"", b""]
+            if len(tokens):
+                mixed = permuted(tokens)
+                again = permuted(mixed)
+                firsts = (tokens[0], tokens[-1], tokens[np.argmin(mixed)], tokens[np.argmin(again)])
+                row = [len(tokens), xxhash.xxh3_128_digest(tokens.tobytes()), float(late.mean()), *(int(x.view("i8")) for x in firsts),
+                       packed(prefix(tokens, late, 0, percent)), packed(prefix(tokens, late, 1, percent))]
             for column, value in zip(out, row):
                 column.append(value)
-        kinds = [pa.int64(), pa.binary(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.binary(), pa.float64(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds))], names=names)
 
 
@@ -186,9 +201,9 @@ def unpacked(data: bytes) -> np.ndarray:
 def _deal(batches, buckets: int):
     """Prefix tokens of a batch of nodes, as one packed row for each order and bucket."""
     for batch in batches:
-        node, comp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        node, comp, weight, size = (batch.column(k).to_numpy() for k in range(4))
         for order in (0, 1):
-            lists = [unpacked(x.as_py()) for x in batch.column(2 + order)]
+            lists = [unpacked(x.as_py()) for x in batch.column(4 + order)]
             if not lists:
                 continue
             tokens = np.concatenate(lists)
@@ -197,47 +212,56 @@ def _deal(batches, buckets: int):
             by = np.lexsort((tokens, bucket))
             tokens, owner, bucket = tokens[by], owner[by].astype("<u4"), bucket[by]
             edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-            rows = [[], [], [], [], []]
+            rows = [[], [], [], [], [], [], []]
             for a, b in zip(edges[:-1], edges[1:]):
                 own, local = np.unique(owner[a:b], return_inverse=True)
                 values = (int(bucket[a]), packed(tokens[a:b] << U(24)), local.astype("<u2" if len(own) < 65536 else "<u4").tobytes(),
-                          node[own].astype("<i8").tobytes(), comp[own].astype("<i8").tobytes())
+                          *(x[own].astype("<i8").tobytes() for x in (node, comp, weight, size)))
                 for column, value in zip(rows, values):
                     column.append(value)
-            kinds = [pa.int32()] + [pa.binary()] * 4
+            kinds = [pa.int32()] + [pa.binary()] * 6
             yield pa.RecordBatch.from_arrays([pa.array([order] * len(rows[0]), pa.int32()), *(pa.array(c, k) for c, k in zip(rows, kinds))],
-                                             names=["ord", "bucket", "tokens", "owners", "nodes", "comps"])
+                                             names=["ord", "bucket", "tokens", "owners", "nodes", "comps", "weights", "sizes"])
 
 
-def _probes(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """(node, component) pairs of one bucket: the node shares a token with a member of another component.
+def _probes(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(node, component) pairs of one bucket: the node shares a token with a member, of a size that fits, of another component.
 
-    Of two components the probe goes from the one with the larger id, so each pair is searched once.
+    Of two components the probe goes from the smaller one, so each pair is searched once.
     """
-    tokens, nodes, comps = [], [], []
-    for t, o, n, c in zip(pdf["tokens"], pdf["owners"], pdf["nodes"], pdf["comps"]):
+    tokens, nodes, comps, weights, sizes = [], [], [], [], []
+    for t, o, *sides in zip(pdf["tokens"], pdf["owners"], pdf["nodes"], pdf["comps"], pdf["weights"], pdf["sizes"]):
         found = unpacked(t)
         local = np.frombuffer(o, "<u2" if len(o) == 2 * len(found) else "<u4")
         tokens.append(found)
-        nodes.append(np.frombuffer(n, "<i8")[local])
-        comps.append(np.frombuffer(c, "<i8")[local])
-    tokens, nodes, comps = (np.concatenate(x) for x in (tokens, nodes, comps))
-    by = np.lexsort((comps, tokens))
-    tokens, nodes, comps = tokens[by], nodes[by], comps[by]
+        for kept, side in zip((nodes, comps, weights, sizes), sides):
+            kept.append(np.frombuffer(side, "<i8")[local])
+    tokens, nodes, comps, weights, sizes = (np.concatenate(x) for x in (tokens, nodes, comps, weights, sizes))
+    # rank 0 is the largest component
+    by = np.lexsort((comps, -weights))
+    ranked = comps[by][np.concatenate(([True], (comps[by][1:] != comps[by][:-1])))]
+    sorter = np.argsort(ranked)
+    rank = sorter[np.searchsorted(ranked, comps, sorter=sorter)]
+    by = np.lexsort((rank, tokens))
+    tokens, nodes, rank, sizes = tokens[by], nodes[by], rank[by], sizes[by]
     starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
     ends = np.append(starts[1:], len(tokens))
-    mixed = comps[starts] != comps[ends - 1]
-    out = []
+    mixed = rank[starts] != rank[ends - 1]
+    out, held = [], 0
     for a, b in zip(starts[mixed], ends[mixed]):
-        targets = np.unique(comps[a:b])
-        for node, own in zip(nodes[a:b], comps[a:b]):
-            lower = targets[:np.searchsorted(targets, own)]
-            if len(lower):
-                out.append(np.stack((np.full(len(lower), node), lower)))
-        if sum(x.shape[1] for x in out[-200:]) > 2_000_000:
+        ranks, n = rank[a:b], sizes[a:b]
+        least, most = 100 * n, percent * n
+        for node, own, size in zip(nodes[a:b], ranks, n):
+            end = np.searchsorted(ranks, own)  # the larger components come first
+            larger = np.unique(ranks[:end][(least[:end] >= percent * size) & (most[:end] <= 100 * size)])
+            if len(larger):
+                out.append(np.stack((np.full(len(larger), node), larger)))
+                held += len(larger)
+        if held > 2_000_000:
             out = [np.unique(np.concatenate(out, 1), axis=1)]
+            held = 0
     found = np.unique(np.concatenate(out, 1), axis=1) if out else np.zeros((2, 0), "i8")
-    return pd.DataFrame({"ord": np.full(found.shape[1], key[0], "int32"), "node": found[0], "comp": found[1]})
+    return pd.DataFrame({"ord": np.full(found.shape[1], key[0], "int32"), "node": found[0], "comp": ranked[found[1]]})
 
 
 def _verify(pdf: pd.DataFrame, percent: int, frequent: np.ndarray) -> pd.DataFrame:
@@ -247,7 +271,7 @@ def _verify(pdf: pd.DataFrame, percent: int, frequent: np.ndarray) -> pd.DataFra
     for doc, text in zip(order["doc_id"], order["text"]):
         if doc not in sets:
             tokens = shingles(text)
-            sets[doc] = tokens, prefixes(tokens, frequent, percent)[2]
+            sets[doc] = tokens, np.sort(prefix(tokens, is_frequent(tokens, frequent), 2, percent))
     probes = [d for d, p in zip(order["doc_id"], order["probe"]) if p]
     members = [d for d, p in zip(order["doc_id"], order["probe"]) if not p]
     out = []
@@ -256,7 +280,7 @@ def _verify(pdf: pd.DataFrame, percent: int, frequent: np.ndarray) -> pd.DataFra
         for y in members:
             b, other = sets[y]
             if x != y and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and \
-                    np.isin(first, other).any() and linked(a, b, percent):
+                    shares_one(first, other) and linked(a, b, percent):
                 out.append((x, y))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
@@ -311,8 +335,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     # stars
     firsts = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"first{k}").alias("t")) for k in (1, 2, 3, 4)])).alias("f")
-    seen = some.select(F.col("doc_id").alias("node"), firsts).join(alone, "node", "left_semi").select("node", "f")
-    leaders = seen.groupBy("f").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
+    seen = some.select(F.col("doc_id").alias("node"), "share", firsts).join(alone, "node", "left_semi").select("node", "share", "f")
+    best = F.max(F.struct("share", (-F.col("node")).alias("least")))
+    leaders = seen.groupBy("f").agg((-best["least"]).alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     stars = materialize(seen.join(leaders, "f").filter("node <> leader").select("leader", "node").distinct(), "jaccard-stars")
     near = verified_links(texts, stars.select(F.col("leader").alias("g"), F.col("leader").alias("doc_id")),
                           stars.select(F.col("leader").alias("g"), F.col("node").alias("doc_id")), percent, frequent)
@@ -321,10 +346,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # prefix indexes under two orders, between different components
     total = some.agg(F.sum(F.length("prefix1"))).first()[0] or 0
     buckets = max(8, int(total // (5 * BUCKET_TOKENS)) + 1)
-    known = alone.join(comps, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("comp"))
-    dealt = some.join(known, "doc_id").select("doc_id", "comp", "prefix1", "prefix2")
-    packets = dealt.mapInArrow(lambda b: _deal(b, buckets), "ord int, bucket int, tokens binary, owners binary, nodes binary, comps binary")
-    found = packets.groupBy("ord", "bucket").applyInPandas(_probes, "ord int, node long, comp long")
+    comps = comps.join(comps.groupBy("component").agg(F.count(F.lit(1)).alias("weight")), "component")
+    known = alone.join(comps, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("comp"),
+                                                     F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
+    dealt = some.join(known, "doc_id").select("doc_id", "comp", "weight", "n_shingles", "prefix1", "prefix2")
+    packets = dealt.mapInArrow(lambda b: _deal(b, buckets), "ord int, bucket int, tokens binary, owners binary, nodes binary, comps binary, weights binary, sizes binary")
+    found = packets.groupBy("ord", "bucket").applyInPandas(lambda key, pdf: _probes(key, pdf, percent), "ord int, node long, comp long")
     both = found.groupBy("node", "comp").agg(F.countDistinct("ord").alias("orders")).filter("orders = 2")
     probes = materialize(both.select(F.col("comp").alias("g"), F.col("node").alias("doc_id")), "jaccard-probes")
     members = known.select(F.col("comp").alias("g"), "doc_id").join(probes.select("g").distinct(), "g", "left_semi")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapewise.llm import decontaminate, exactdedup, packing, sharding, tokenfile, toxicity
+from tapewise.llm import decontaminate, exactdedup, htmltext, jaccard, linededup, packing, sharding, tokenfile, toxicity, warc
 from tapewise.llm.common import scratch, table
-from pyspark.sql import functions as F
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.fit(pages))
+
+
 def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to a token file and read back."""
     path = scratch(spark, "token-file")
@@ -29,6 +35,11 @@ def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_file_digest(spark, path)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier document has."""
+    return linededup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards of nearly equal bytes."""
     found = sharding.shard_documents(table(spark, sf_dir, "documents"))
@@ -41,13 +52,26 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page in WARC archives, read back and indexed."""
+    found = warc.capture_index(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at",
+                        "archive", "offset", "length", "merge_range", "merge_pos")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of every document."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_toxicity, op4_token_file, op6_sharding, op7_exact_dedup, op9_packing)
+    f.__name__: f for f in (op1_decontaminate, op2_toxicity, op3_html_text, op4_token_file, op5_line_dedup, op6_sharding,
+                            op7_exact_dedup, op8_warc, op9_packing, op10_jaccard)
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"

@@ -4,7 +4,8 @@ A text's set holds the 64-bit hashes of its distinct word shingles.  Under any
 global order of tokens, two sets with Jaccard similarity ``t`` or more share a
 token among their first ``n - ceil(t * n) + 1`` tokens.  Three orders are used:
 ascending and descending hash and a permuted hash, each with frequent tokens
-last, so that boilerplate is in no prefix unless a text has little else.
+last, by rising class of frequency, so that boilerplate is in no prefix unless
+a text has little else.
 
 1. Texts with equal sets are one node; one representative goes on.
 2. *Stars*: representatives with the same least token under one of four plain
@@ -18,9 +19,13 @@ last, so that boilerplate is in no prefix unless a text has little else.
 4. Remaining pairs are verified on their whole sets; the links of both steps
    give the components.
 
-Pairs inside one component are never listed, so a group of thousands of near
-copies costs its size, not its square.  All groups are dealt in chunks of
-bounded size.  Which tokens count as frequent changes the work, never the
+A token that more than ``LARGE`` components share under the first order lists
+no pairs: its nodes form a group, dealt into squares of ``SQUARE`` by
+``SQUARE`` texts, and each square is verified at once by multiplying its
+token matrices.  Under the second order such a token lets all its nodes pass.
+Pairs inside one component are never listed, and a square returns only links
+that join components, so thousands of near copies give rows by their number,
+not its square.  All groups are dealt in chunks of bounded size.  Which tokens count as frequent changes the work, never the
 result.
 
 Nulls and texts without words have empty sets and link with nothing; fewer
@@ -43,11 +48,13 @@ from tapewise.llm.components import components
 
 WIDTH = 5
 PERCENT = 80
-#: Tokens put last in every order: at most this many, each in at least LEAST_FREQUENT texts.
-MOST_FREQUENT = 1 << 17
-LEAST_FREQUENT = 24
-COUNT_TOKENS = 4_000_000
+#: Tokens put last in every order: at most this many, each near the front of at least LEAST_FREQUENT texts.
+MOST_FREQUENT = 1 << 20
+LEAST_FREQUENT = 5
 CHUNK = 128
+LARGE = 16
+SQUARE = 512
+SLAB = 8192
 BUCKET_TOKENS = 1_000_000
 #: Greatest number of ids sent to every task; beyond it the texts are shuffled to the ids.
 BROADCAST_IDS = 1_000_000
@@ -117,22 +124,35 @@ def permuted(tokens: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(29))
 
 
-def is_frequent(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    if not len(frequent) or not len(tokens):
-        return np.zeros(len(tokens), bool)
-    place = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-    return frequent[place] == tokens
+class Frequent:
+    """Frequent tokens (their first 40 bits, sorted) and the class of each: the binary logarithm of its count."""
 
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        by = np.argsort(tokens)
+        self.tokens, self.classes = tokens[by], np.log2(np.maximum(counts[by], 1)).astype("u1") + 1
 
-def prefix(tokens: np.ndarray, late: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
-    """The prefix of a sorted set under one of the three orders; tokens marked late come last."""
+    def classes_of(self, tokens: np.ndarray) -> np.ndarray:
+        """0 for tokens that are not frequent."""
+        if not len(self.tokens) or not len(tokens):
+            return np.zeros(len(tokens), "u1")
+        short = tokens >> U(24)
+        place = np.minimum(np.searchsorted(self.tokens, short), len(self.tokens) - 1)
+        return np.where(self.tokens[place] == short, self.classes[place], 0).astype("u1")
+
+
+def prefix(tokens: np.ndarray, classes: np.ndarray, order: int, percent: int = PERCENT) -> np.ndarray:
+    """The prefix of a sorted set under one of the three orders, each by class first."""
     p = prefix_length(len(tokens), percent)
-    rare, common = tokens[~late], tokens[late]
+    rare = tokens[classes == 0]
     if order == 1:
-        rare, common = rare[::-1], common[::-1]
+        rare = rare[::-1]
     elif order == 2:
-        rare, common = (x[np.argsort(permuted(x), kind="stable")] for x in (rare, common))
-    return np.concatenate((rare[:p], common[:max(0, p - len(rare))]))
+        rare = rare[np.argsort(permuted(rare), kind="stable")]
+    if len(rare) >= p:
+        return rare[:p]
+    late, c = tokens[classes > 0], classes[classes > 0]
+    key = late if order == 0 else ~late if order == 1 else permuted(late)
+    return np.concatenate((rare, late[np.lexsort((key, c))][:p - len(rare)]))
 
 
 def _texts(column):
@@ -141,46 +161,56 @@ def _texts(column):
         yield x.as_py()
 
 
-def _frequent(batches):
-    """Tokens that occur in two texts or more of a stretch of the task's texts, with their counts."""
-    held, size = [], 0
-
-    def counted():
-        tokens, n = np.unique(np.concatenate(held), return_counts=True)
-        many = n > 1
-        return pa.RecordBatch.from_arrays([pa.array(tokens[many].view("i8")), pa.array(n[many].astype("i8"))], names=["token", "n"])
-
+def _fronts(batches, buckets: int, percent: int):
+    """Tokens near either end of each set, a little beyond its plain prefixes, packed by bucket."""
     for batch in batches:
+        held = []
         for text in _texts(batch.column(0)):
-            found = shingles(text)
-            held.append(found)
-            size += len(found)
-            if size >= COUNT_TOKENS:
-                yield counted()
-                held, size = [], 0
-    if held:
-        yield counted()
+            tokens = shingles(text)
+            q = prefix_length(len(tokens), percent) * 13 // 10 + 1
+            held += [tokens] if 2 * q >= len(tokens) else [tokens[:q], tokens[-q:]]
+        if held:
+            tokens = np.concatenate(held) >> U(24)
+            by, edges, bucket = by_bucket(tokens, buckets)
+            tokens = tokens[by]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.astype("i4")), pa.array([packed(tokens[a:b] << U(24)) for a, b in edges], pa.binary())],
+                                             names=["bucket", "tokens"])
+
+
+def by_bucket(tokens: np.ndarray, buckets: int):
+    """Sorting positions by (bucket, token), the ranges of the buckets, and their numbers."""
+    bucket = ((tokens * FACTOR) >> U(40)) % U(buckets)
+    by = np.lexsort((tokens, bucket))
+    bucket = bucket[by]
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(bucket)), bool), bucket[1:] != bucket[:-1])))
+    return by, list(zip(starts, [*starts[1:], len(bucket)])), bucket[starts]
+
+
+def _counted(pdf: pd.DataFrame) -> pd.DataFrame:
+    tokens, n = np.unique(np.concatenate([unpacked(x) for x in pdf["tokens"]]), return_counts=True)
+    many = n >= LEAST_FREQUENT
+    return pd.DataFrame({"token": tokens[many].astype("i8"), "n": n[many].astype("i8")})
 
 
 SET_SCHEMA = ("doc_id long, n_shingles long, same binary, share double, first1 long, first2 long, first3 long, first4 long, "
               "prefix1 binary, prefix2 binary")
 
 
-def _describe(batches, frequent: np.ndarray, percent: int):
+def _describe(batches, frequent: Frequent, percent: int):
     """Per text: set size, a 128-bit hash of its set, share of frequent tokens, least tokens, and two prefixes of 40-bit tokens."""
     names = [x.split()[0] for x in SET_SCHEMA.split(", ")]
     for batch in batches:
         out = [[] for _ in names[1:]]
         for text in _texts(batch.column(1)):
             tokens = shingles(text)
-            late = is_frequent(tokens, frequent)
+            classes = frequent.classes_of(tokens)
             row = [len(tokens), None, 0.0, None, None, None, None, b"", b""]
             if len(tokens):
                 mixed = permuted(tokens)
                 again = permuted(mixed)
                 firsts = (tokens[0], tokens[-1], tokens[np.argmin(mixed)], tokens[np.argmin(again)])
-                row = [len(tokens), xxhash.xxh3_128_digest(tokens.tobytes()), float(late.mean()), *(int(x.view("i8")) for x in firsts),
-                       packed(prefix(tokens, late, 0, percent)), packed(prefix(tokens, late, 1, percent))]
+                row = [len(tokens), xxhash.xxh3_128_digest(tokens.tobytes()), float((classes > 0).mean()), *(int(x.view("i8")) for x in firsts),
+                       packed(prefix(tokens, classes, 0, percent)), packed(prefix(tokens, classes, 1, percent))]
             for column, value in zip(out, row):
                 column.append(value)
         kinds = [pa.int64(), pa.binary(), pa.float64(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
@@ -208,14 +238,12 @@ def _deal(batches, buckets: int):
                 continue
             tokens = np.concatenate(lists)
             owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            bucket = ((tokens * FACTOR) >> U(40)) % U(buckets)
-            by = np.lexsort((tokens, bucket))
-            tokens, owner, bucket = tokens[by], owner[by].astype("<u4"), bucket[by]
-            edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+            by, edges, bucket = by_bucket(tokens, buckets)
+            tokens, owner = tokens[by], owner[by].astype("<u4")
             rows = [[], [], [], [], [], [], []]
-            for a, b in zip(edges[:-1], edges[1:]):
+            for (a, b), number in zip(edges, bucket):
                 own, local = np.unique(owner[a:b], return_inverse=True)
-                values = (int(bucket[a]), packed(tokens[a:b] << U(24)), local.astype("<u2" if len(own) < 65536 else "<u4").tobytes(),
+                values = (int(number), packed(tokens[a:b] << U(24)), local.astype("<u2" if len(own) < 65536 else "<u4").tobytes(),
                           *(x[own].astype("<i8").tobytes() for x in (node, comp, weight, size)))
                 for column, value in zip(rows, values):
                     column.append(value)
@@ -225,7 +253,9 @@ def _deal(batches, buckets: int):
 
 
 def _probes(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """(node, component) pairs of one bucket: the node shares a token with a member, of a size that fits, of another component.
+    """Of one bucket, the probes (kind 0) and the members of large groups (kind 1).
+
+    A probe is a node and a component: they share a token, and a member's size fits.
 
     Of two components the probe goes from the smaller one, so each pair is searched once.
     """
@@ -242,14 +272,19 @@ def _probes(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     ranked = comps[by][np.concatenate(([True], (comps[by][1:] != comps[by][:-1])))]
     sorter = np.argsort(ranked)
     rank = sorter[np.searchsorted(ranked, comps, sorter=sorter)]
-    by = np.lexsort((rank, tokens))
+    by = np.lexsort((nodes, rank, tokens))
     tokens, nodes, rank, sizes = tokens[by], nodes[by], rank[by], sizes[by]
     starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
     ends = np.append(starts[1:], len(tokens))
     mixed = rank[starts] != rank[ends - 1]
-    out, held = [], 0
+    out, held, large = [], 0, []
     for a, b in zip(starts[mixed], ends[mixed]):
         ranks, n = rank[a:b], sizes[a:b]
+        if 1 + int((ranks[1:] != ranks[:-1]).sum()) > LARGE:
+            large.append(np.stack((np.full(b - a, nodes[a]), nodes[a:b], ranks)))
+            if len(large) >= 500:
+                large = [np.unique(np.concatenate(large, 1), axis=1)]
+            continue
         least, most = 100 * n, percent * n
         for node, own, size in zip(nodes[a:b], ranks, n):
             end = np.searchsorted(ranks, own)  # the larger components come first
@@ -261,17 +296,22 @@ def _probes(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
             out = [np.unique(np.concatenate(out, 1), axis=1)]
             held = 0
     found = np.unique(np.concatenate(out, 1), axis=1) if out else np.zeros((2, 0), "i8")
-    return pd.DataFrame({"ord": np.full(found.shape[1], key[0], "int32"), "node": found[0], "comp": ranked[found[1]]})
+    probes = pd.DataFrame({"ord": key[0], "kind": 0, "g": ranked[found[1]], "node": found[0], "comp": 0})
+    group = np.unique(np.concatenate(large, 1), axis=1) if large else np.zeros((3, 0), "i8")
+    if key[0]:
+        group = np.unique(group * np.array([[0], [1], [1]]), axis=1)
+    groups = pd.DataFrame({"ord": key[0], "kind": 1, "g": group[0], "node": group[1], "comp": ranked[group[2]]})
+    return pd.concat([probes, groups], ignore_index=True).astype({"ord": "int32", "kind": "int32"})
 
 
-def _verify(pdf: pd.DataFrame, percent: int, frequent: np.ndarray) -> pd.DataFrame:
+def _verify(pdf: pd.DataFrame, percent: int, frequent: Frequent) -> pd.DataFrame:
     """Links between the probes and the members of one chunk of a group."""
     order = pdf.sort_values("doc_id", kind="stable")
     sets = {}
     for doc, text in zip(order["doc_id"], order["text"]):
         if doc not in sets:
             tokens = shingles(text)
-            sets[doc] = tokens, np.sort(prefix(tokens, is_frequent(tokens, frequent), 2, percent))
+            sets[doc] = tokens, np.sort(prefix(tokens, frequent.classes_of(tokens), 2, percent))
     probes = [d for d, p in zip(order["doc_id"], order["probe"]) if p]
     members = [d for d, p in zip(order["doc_id"], order["probe"]) if not p]
     out = []
@@ -290,7 +330,7 @@ def _chunks(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias(name))
 
 
-def verified_links(texts: DataFrame, probes: DataFrame, members: DataFrame, percent: int, frequent: np.ndarray) -> DataFrame:
+def verified_links(texts: DataFrame, probes: DataFrame, members: DataFrame, percent: int, frequent: Frequent) -> DataFrame:
     """Exact links (a, b) between the probes and members, both (g, doc_id), of each group.
 
     Groups meet in squares of at most about CHUNK by CHUNK texts.
@@ -306,22 +346,79 @@ def verified_links(texts: DataFrame, probes: DataFrame, members: DataFrame, perc
         return found.select("g", F.col(pick[0]).alias("cp"), F.col(pick[1]).alias("cm"), "doc_id", F.lit(probe).alias("probe"))
 
     rows = materialize(dealt(probes, "np", "nm", True).unionByName(dealt(members, "nm", "np", False)), "jaccard-groups")
-    ids = checkpointed(rows.select("doc_id").distinct())
-    if ids.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
-    filled = rows.join(texts, "doc_id").select("g", "cp", "cm", "doc_id", "probe", F.col("text").cast("binary").alias("text"))
+    filled = rows.join(involved(texts, rows), "doc_id").select("g", "cp", "cm", "doc_id", "probe", F.col("text").cast("binary").alias("text"))
     found = filled.groupBy("g", "cp", "cm").applyInPandas(lambda pdf: _verify(pdf, percent, frequent), "a long, b long")
     return materialize(found.distinct(), "jaccard-links")
 
 
+def _square(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links that join components between the two chunks of one square."""
+    pdf = pdf.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    sets = [shingles(t) for t in pdf["text"]]
+    sizes = np.array([len(x) for x in sets])
+    own, docs, comps = pdf["own"].to_numpy(), pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy()
+    rows, cols = (np.flatnonzero(own == pdf[k].iloc[0]) for k in ("ca", "cb"))
+    if not len(rows) or not len(cols):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    tokens, number, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    several = n[number] > 1
+    number, owner = (np.cumsum(n > 1) - 1)[number[several]], owner[several]
+    by = np.argsort(number, kind="stable")
+    number, owner = number[by], owner[by]
+    common = np.zeros((len(rows), len(cols)), np.float32)
+    for a in range(0, int((n > 1).sum()), SLAB):
+        low, high = np.searchsorted(number, (a, a + SLAB))
+        cells = np.zeros((len(sets), SLAB), np.float32)
+        cells[owner[low:high], number[low:high] - a] = 1
+        common += cells[rows] @ cells[cols].T
+    union = sizes[rows][:, None] + sizes[cols][None, :] - common
+    found = (100 * common >= percent * union) & (common > 0) & (comps[rows][:, None] != comps[cols][None, :])
+    parent: dict = {}
+
+    def root(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(found)):
+        x, y = root(comps[rows[i]]), root(comps[cols[j]])
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((docs[rows[i]], docs[cols[j]]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def links_in_groups(texts: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Exact links (a, b) between different components of each group (g, doc_id, comp)."""
+    counts = groups.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / SQUARE).cast("int").alias("n"))
+    dealt = groups.join(counts, "g").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    rows = materialize(dealt.select("g", F.least("own", "other").alias("ca"), F.greatest("own", "other").alias("cb"), "own", "doc_id", "comp"),
+                       "jaccard-squares")
+    filled = rows.join(involved(texts, rows), "doc_id").select("g", "ca", "cb", "own", "comp", "doc_id", F.col("text").cast("binary").alias("text"))
+    found = filled.groupBy("g", "ca", "cb").applyInPandas(lambda pdf: _square(pdf, percent), "a long, b long")
+    return materialize(found.distinct(), "jaccard-links")
+
+
+def involved(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts, cut down to the ids in ``rows`` before any shuffle where those are few enough to send to every task."""
+    ids = checkpointed(rows.select("doc_id").distinct())
+    return texts.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= BROADCAST_IDS else texts
+
+
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = rows.select("text").mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2, size // (10 * BUCKET_TOKENS) + 1)  # a word takes about five bytes, a front about half a set
+    counted = (rows.select("text").mapInArrow(lambda b: _fronts(b, buckets, percent), "bucket int, tokens binary")
+               .groupBy("bucket").applyInPandas(_counted, "token long, n long"))
     # at most MOST_FREQUENT tokens
-    often = counted.filter(F.col("n") >= LEAST_FREQUENT).orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toArrow()
-    frequent = np.sort(often.column("token").to_numpy().astype("i8").view(U))
+    often = counted.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).toArrow()
+    frequent = Frequent(often.column("token").to_numpy().astype("i8").view(U), often.column("n").to_numpy())
     path = scratch(spark, "jaccard-sets")
     rows.mapInArrow(lambda b: _describe(b, frequent, percent), SET_SCHEMA).write.parquet(path)
     sets = spark.read.schema(SET_SCHEMA).parquet(path)
@@ -344,18 +441,22 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     comps = materialize(components(near), "jaccard-comps")
 
     # prefix indexes under two orders, between different components
-    total = some.agg(F.sum(F.length("prefix1"))).first()[0] or 0
-    buckets = max(8, int(total // (5 * BUCKET_TOKENS)) + 1)
     comps = comps.join(comps.groupBy("component").agg(F.count(F.lit(1)).alias("weight")), "component")
     known = alone.join(comps, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("comp"),
                                                      F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
     dealt = some.join(known, "doc_id").select("doc_id", "comp", "weight", "n_shingles", "prefix1", "prefix2")
     packets = dealt.mapInArrow(lambda b: _deal(b, buckets), "ord int, bucket int, tokens binary, owners binary, nodes binary, comps binary, weights binary, sizes binary")
-    found = packets.groupBy("ord", "bucket").applyInPandas(lambda key, pdf: _probes(key, pdf, percent), "ord int, node long, comp long")
-    both = found.groupBy("node", "comp").agg(F.countDistinct("ord").alias("orders")).filter("orders = 2")
-    probes = materialize(both.select(F.col("comp").alias("g"), F.col("node").alias("doc_id")), "jaccard-probes")
+    found = packets.groupBy("ord", "bucket").applyInPandas(lambda key, pdf: _probes(key, pdf, percent),
+                                                           "ord int, kind int, g long, node long, comp long")
+    found = materialize(found, "jaccard-candidates")
+    one, two = (found.filter((F.col("ord") == k) & (F.col("kind") == 0)).select("g", F.col("node").alias("doc_id")).distinct() for k in (0, 1))
+    passed = found.filter("ord = 1 and kind = 1").select(F.col("node").alias("doc_id")).distinct()
+    probes = one.join(two, ["g", "doc_id"], "left_semi").unionByName(one.join(passed, "doc_id", "left_semi").select("g", "doc_id")).distinct()
+    probes = materialize(probes, "jaccard-probes")
+    groups = found.filter("ord = 0 and kind = 1").select("g", F.col("node").alias("doc_id"), "comp").distinct()
     members = known.select(F.col("comp").alias("g"), "doc_id").join(probes.select("g").distinct(), "g", "left_semi")
     more = verified_links(texts, probes, members, percent, frequent)
+    more = more.unionByName(links_in_groups(texts, materialize(groups, "jaccard-large"), percent))
 
     linked_nodes = near.unionByName(more).unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
     final = materialize(components(linked_nodes), "jaccard-final")

@@ -70,8 +70,8 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end
                      row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES, page_rows: int = PAGE_ROWS) -> None:
     """Encode every text of ``docs`` (doc_id, text), append ``end_id`` and write the ids in ascending doc_id order."""
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-            .repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text"))
-    found = rows.mapInArrow(lambda b: _encode(b, tokenizer, end_id),
+            .withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text"))
+    found = rows.drop("tie").mapInArrow(lambda b: _encode(b, tokenizer, end_id),
                             "part int, part_start long, doc_id long, n_tokens long, ids array<int>")
     options = {"compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": row_group_bytes,
                "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows, "parquet.enable.dictionary": "true"}

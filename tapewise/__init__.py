@@ -9,7 +9,6 @@ push down and fuse it.  Sub-packages:
 * ``operators``  - cleaning, profiling, association, returns, portfolios,
                    splits, curves, models and tuning
 * ``plans``      - the registered queries and their DuckDB oracles
-* ``streaming``  - micro-batch scoring of a tape arriving as a stream
 """
 
 from tapewise.session import get_session, checkpoint_dir  # noqa: F401

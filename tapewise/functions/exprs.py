@@ -78,7 +78,8 @@ def safe_ratio(num: Column, den: Column) -> Column:
 
 def format_percent_expr(c: str | Column, digits: int = 2) -> Column:
     """Fraction -> ``'12.34%'`` (presentation column only)."""
-    return F.format_string(f"%.{digits}f%%", as_column(c) * F.lit(100.0))
+    x = as_column(c)
+    return F.when(x.isNotNull(), F.format_string(f"%.{digits}f%%", x * F.lit(100.0)))
 
 
 def hash_int(key: str | Column, seed: int | str) -> Column:

@@ -105,7 +105,8 @@ def add_chi2_pvalues(result: DataFrame, chi2: str = "chi2", dof: str = "dof_ref"
         else:
             cd = dist.ChiSquaredDistribution(float(d))
             crit = float(cd.inverseCumulativeProbability(q))
-            pval = float(1.0 - cd.cumulativeProbability(float(x)))
+            # the upper tail itself: 1 - cdf would cancel to 0 for small p-values
+            pval = float(spark.sparkContext._jvm.org.apache.commons.math3.special.Gamma.regularizedGammaQ(float(d) / 2, float(x) / 2))
         out.append((*r, crit, pval))
     schema = result.schema.add("crit", "double").add("p_value", "double")
     return spark.createDataFrame(out, schema)
@@ -154,7 +155,7 @@ def add_t_pvalues(result: DataFrame, r: str = "r", n: str = "n") -> DataFrame:
             p = 0.0
         else:
             t = abs(rv) * ((nv - 2) / (1 - rv * rv)) ** 0.5
-            p = float(2.0 * (1.0 - dist.TDistribution(float(nv - 2)).cumulativeProbability(t)))
+            p = float(2.0 * dist.TDistribution(float(nv - 2)).cumulativeProbability(-t))
         out.append((*row, p))
     return spark.createDataFrame(out, result.schema.add("p_value", "double"))
 

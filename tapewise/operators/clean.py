@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,24 +119,17 @@ def as_string(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """Categorical -> integer code in ascending value order (LabelEncoder semantics).
 
-    Uses ``StringIndexer(stringOrderType='alphabetAsc')``: its fit is one
-    distributed distinct-count job and the model holds only the level list.
-    NULL keeps a NULL code.
+    Values are ordered in their own type, so numbers rank as numbers.  The
+    codes are ranks over the distinct values (one row per level), joined back;
+    no level list goes through the driver.  NULL keeps a NULL code.
     """
-    from pyspark.ml.feature import StringIndexer
-
-    tmp_in = {c: f"__le_in_{c}" for c in cols}
-    tmp_out = {c: f"__le_out_{c}" for c in cols}
-    staged = df.withColumns({tmp_in[c]: F.col(c).cast("string") for c in cols})
-    indexer = StringIndexer(inputCols=[tmp_in[c] for c in cols], outputCols=[tmp_out[c] for c in cols],
-                            stringOrderType="alphabetAsc", handleInvalid="keep")
-    model = indexer.fit(staged)
-    out = model.transform(staged)
-    out = out.withColumns({
-        f"{c}{suffix}": F.when(F.col(tmp_in[c]).isNull(), F.lit(None)).otherwise(F.col(tmp_out[c])).cast("int")
-        for c in cols
-    })
-    return out.drop(*tmp_in.values(), *tmp_out.values())
+    out = df
+    for c in cols:
+        levels = df.select(F.col(c).alias("__level")).filter(F.col("__level").isNotNull()).distinct()
+        codes = levels.select("__level", (F.row_number().over(Window.orderBy("__level")) - 1).cast("int").alias("__code"))
+        out = out.join(codes, out[c] == codes["__level"], "left").drop("__level")
+        out = out.withColumn(f"{c}{suffix}", F.col("__code")).drop("__code")
+    return out
 
 
 def cut_bins(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence | None = None,
@@ -155,6 +148,7 @@ def equal_width_bins(df: DataFrame, col: str, n: int, label: str = "default_flag
     step = round-half-even((max - min) / n); edges min, min+step, ... up to max,
     with max appended when the sequence stops short of it; intervals are
     right-closed, so the minimum itself falls in no bin (as ``cut`` does).
+    A constant column has no bins.
     Returns ``bin, bin_lower, bin_upper, mean_default, n``; empty bins are absent
     (as ``aggregate`` omits them).
     """
@@ -164,13 +158,13 @@ def equal_width_bins(df: DataFrame, col: str, n: int, label: str = "default_flag
     stats = stats.withColumn("__step", F.when(F.bround(F.col("__raw"), 0) > 0, F.bround(F.col("__raw"), 0))
                              .otherwise(F.col("__raw")))
     # number of sequence points, then bins (an extra bin when max is not on the grid)
-    stats = stats.withColumn("__m", F.floor((F.col("__hi") - F.col("__lo")) / F.col("__step")) + 1)
+    stats = stats.withColumn("__m", F.floor(F.try_divide(F.col("__hi") - F.col("__lo"), F.col("__step"))) + 1)
     stats = stats.withColumn(
         "__bins",
         F.when(F.col("__lo") + (F.col("__m") - 1) * F.col("__step") < F.col("__hi"), F.col("__m"))
         .otherwise(F.col("__m") - 1))
     j = df.select(x.alias("__x"), F.col(label).alias("__y")).crossJoin(F.broadcast(stats))
-    k = F.least(F.ceil((F.col("__x") - F.col("__lo")) / F.col("__step")), F.col("__bins"))
+    k = F.least(F.ceil(F.try_divide(F.col("__x") - F.col("__lo"), F.col("__step"))), F.col("__bins"))
     j = j.filter(F.col("__x") > F.col("__lo")).withColumn("bin", k.cast("int"))
     agg = j.groupBy("bin", "__lo", "__hi", "__step", "__bins").agg(
         F.avg("__y").alias("mean_default"), F.count(F.lit(1)).alias("n"))
@@ -182,12 +176,12 @@ def equal_width_bins(df: DataFrame, col: str, n: int, label: str = "default_flag
 def map_values(df: DataFrame, col: str, mapping, out: str | None = None) -> DataFrame:
     """Recode values.  A dict becomes a literal ``map`` lookup (no join); a
     DataFrame ``(key, value)`` is left-joined, broadcast when the planner's
-    size estimate allows it."""
+    size estimate allows it; a key listed more than once gets its least value."""
     out = out or f"{col}_code"
     if isinstance(mapping, DataFrame):
         k, v = mapping.columns[:2]
-        # one value per key, so the recode never multiplies rows
-        m = mapping.select(F.col(k).alias("__mk"), F.col(v).alias(out)).dropDuplicates(["__mk"])
+        # one value per key, so the recode never multiplies rows: the least one
+        m = mapping.groupBy(F.col(k).alias("__mk")).agg(F.min(F.col(v)).alias(out))
         return df.join(m, F.col(col) == F.col("__mk"), "left").drop("__mk")
     pairs = []
     for key, val in mapping.items():

@@ -28,12 +28,12 @@ DEFAULT_RANGES = None  # adaptive (see ranges.running_sum_desc)
 
 
 def score_counts(df: DataFrame, label: str, score: str | Column, by: Sequence[str] = ()) -> DataFrame:
-    """``[by...], threshold, pos, neg`` per distinct non-NULL score (per group)."""
+    """``[by...], threshold, pos, neg`` per distinct score, NULL and NaN left out (per group)."""
     by = list(by)
     s = as_column(score).cast("double")
     y = F.col(label)
     base = df.select(*by, s.alias("threshold"), y.alias("__y")) \
-             .filter(F.col("threshold").isNotNull() & F.col("__y").isNotNull())
+             .filter(F.col("threshold").isNotNull() & ~F.isnan("threshold") & F.col("__y").isNotNull())
     return base.groupBy(*by, "threshold").agg(
         F.sum(F.when(F.col("__y") == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(F.col("__y") == 1, 0).otherwise(1)).cast("bigint").alias("neg"))

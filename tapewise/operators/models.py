@@ -121,7 +121,9 @@ def logistic(reg: str | float = "sklearn", n_train: int | None = None, max_iter:
 
 
 def random_forest(num_trees: int = 100, max_depth: int = 10, seed: int = 0, **kw) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=num_trees, maxDepth=min(max_depth, 30), seed=seed, **kw)
+    if max_depth > 30:
+        raise ValueError("Spark trees allow maxDepth <= 30")
+    return RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, seed=seed, **kw)
 
 
 def gradient_boosting(max_iter: int = 300, step_size: float = 0.3, max_depth: int = 1, seed: int = 0) -> GBTClassifier:

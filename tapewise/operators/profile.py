@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tapewise.functions.exprs import hash_int
 from tapewise.operators.quantiles import quantiles
+from tapewise.operators.ranges import join_on_keys
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -39,12 +40,13 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def _summary(long: DataFrame, keys: Sequence[str], method: str, accuracy: int) -> DataFrame:
+    long = long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))  # NaN counts as missing
     x = F.col("value")
     main = long.groupBy(*keys).agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
         F.min(x).alias("min"), F.max(x).alias("max"))
     q = quantiles(long, keys, "value", QUARTILES, method=method, accuracy=accuracy).drop("n")
-    out = main.join(q, list(keys), "left")
+    out = join_on_keys(main, q, keys, "left")
     return out.select(*keys, "count", "mean", "std", "min",
                       F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")
 
@@ -136,7 +138,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
 def histogram_by(df: DataFrame, cols: Sequence[str], by: str | None, bins: int = 10) -> DataFrame:
     """Histogram split by ``by`` with edges shared across groups (one grid per field)."""
     keep = [by] if by else []
-    long = unpivot(df, cols, keep=keep, value_type="double").filter(F.col("value").isNotNull())
+    long = unpivot(df, cols, keep=keep, value_type="double").filter(F.col("value").isNotNull() & ~F.isnan("value"))
     stats = _hist_stats(long, ["field"])
     binned = long.join(F.broadcast(stats), "field").withColumn("bin", _bin_expr(bins))
     counts = binned.groupBy("field", *keep, "bin").agg(F.count(F.lit(1)).alias("n"))
@@ -146,7 +148,7 @@ def histogram_by(df: DataFrame, cols: Sequence[str], by: str | None, bins: int =
     grid = pairs.join(F.broadcast(stats), "field") \
                 .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
-    out = grid.join(counts, ["field", *keep, "bin"], "left")
+    out = join_on_keys(grid, counts, ["field", *keep, "bin"], "left")
     return out.select(
         "field", *keep, "bin",
         (F.col("__lo") + F.col("bin") * width).alias("bin_lower"),
@@ -173,14 +175,14 @@ def share_by(df: DataFrame, cols: Sequence[str], dropna: bool = False) -> DataFr
 
 def box_stats(df: DataFrame, cols: Sequence[str], by: str, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Five-number summary per (field, by) with 1.5 x IQR whiskers and the outlier count."""
-    long = unpivot(df, cols, keep=[by], value_type="double").filter(F.col("value").isNotNull())
+    long = unpivot(df, cols, keep=[by], value_type="double").filter(F.col("value").isNotNull() & ~F.isnan("value"))
     q = quantiles(long, ["field", by], "value", QUARTILES, method=method, accuracy=accuracy)
     q = q.select("field", by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(1.5) * iqr
     hi_fence = F.col("q3") + F.lit(1.5) * iqr
-    # q has one row per (field, level of by): broadcast instead of shuffling all rows on a few keys
-    j = long.join(F.broadcast(q), ["field", by])
+    # one row per (field, level of by); the planner broadcasts it where its size allows
+    j = join_on_keys(long, q, ["field", by])
     v = F.col("value")
     return j.groupBy("field", by, "q1", "median", "q3").agg(
         F.min(F.when(v >= lo_fence, v)).alias("whisker_lo"),

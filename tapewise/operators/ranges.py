@@ -58,8 +58,8 @@ def count_below(v: Column, levels: Sequence[Column]) -> Column:
     return k
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` that matches NULL to NULL (group keys may be NULL)."""
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` that matches NULL to NULL (group keys may be NULL)."""
     keys = list(keys)
     if not keys:
         return left.crossJoin(right)
@@ -68,7 +68,7 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
     for k in keys:
         c = left[k].eqNullSafe(renamed[f"__jk_{k}"])
         cond = c if cond is None else cond & c
-    return left.join(renamed, cond).drop(*[f"__jk_{k}" for k in keys])
+    return left.join(renamed, cond, how).drop(*[f"__jk_{k}" for k in keys])
 
 
 def assign_ranges(df: DataFrame, keys: Sequence[str], value: str, n_ranges: int,

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewise.functions.exprs import HASH_SPACE, hash_int
+from tapewise.operators.ranges import join_on_keys
 
 HASH_BUCKET_SHIFT = 12  # 32-bit hash >> 12 -> 2**20 buckets
 
@@ -40,7 +41,7 @@ def hash_rank(df: DataFrame, key: str, seed: int, strata: Sequence[str] = (),
     offsets = counts.select(*strata, "__b",
                             F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"),
                             F.sum("__cnt").over(whole).alias(n_col))
-    j = rows.join(offsets, [*strata, "__b"])
+    j = join_on_keys(rows, offsets, [*strata, "__b"])
     within = Window.partitionBy(*strata, "__b").orderBy("__h", key)
     return j.withColumn(rank_col, F.col("__off") + F.row_number().over(within)).drop("__off", "__b")
 

@@ -80,18 +80,14 @@ def labelled_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tape.withColumn(LABEL, default_label_expr("status", GOOD_STATUS))
 
 
-def materialize_tape(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+def materialize_tape(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     """Write the labelled tape once as Parquet and read it back, cutting the join lineage.
 
-    ``path`` defaults to a folder under the session's checkpoint directory
-    (``spark.checkpoint.dir`` on a cluster: a shared, reliable location), so
-    executors lost later re-read the table instead of re-running the join.
+    ``path`` names shared storage and must not exist yet; executors lost later
+    re-read the table instead of re-running the join.
     """
-    from tapewise.session import checkpoint_dir
-
-    target = path or f"{checkpoint_dir(spark).rstrip('/')}/loan_tape"
-    labelled_tape(spark, sf_dir).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    labelled_tape(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 # DuckDB twin of ``labelled_tape``; oracle queries start with this CTE.

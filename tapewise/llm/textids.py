@@ -19,9 +19,11 @@ from tapewise.llm.common import by_value, worker_state
 MAX_PIECES = 400_000
 MAX_WORDS = 700_000
 
-#: One or two words of Latin letters, each with at most one mark, on one or two lines: the pre-tokenizer
-#: cuts such a piece exactly into its words, marks and line end.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)(?:(\n)([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?))?")
+#: One or two words of Latin letters, each with at most one run of ASCII marks (no apostrophe, which can begin
+#: an ending of its own), on one or two lines: the pre-tokenizer cuts such a piece exactly into its words, runs
+#: of marks and line end.
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ɏ]+", r"[!-&(-/:-@\[-`{-~]*"
+_PLAIN = re.compile(f"({_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
 
 
 def byte_letters() -> list[str]:

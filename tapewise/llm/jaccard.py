@@ -58,45 +58,103 @@ SLAB = 8192
 BUCKET_TOKENS = 1_000_000
 #: Greatest number of ids sent to every task; beyond it the texts are shuffled to the ids.
 BROADCAST_IDS = 1_000_000
-MAX_CACHED = 600_000
+#: Bytes of text hashed at a time.
+SLAB_BYTES = 1 << 20
 
 U = np.uint64
 FACTOR = U(0x9E3779B97F4A7C15)
 PERMUTE = U(0xD6E8FEB86659FD93)
+BASE = 0xD1342543DE82EF95
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            if len(self) >= MAX_CACHED:
-                self.clear()
-            self[word] = found
-        return found
+def _byte_values() -> np.ndarray:
+    """A 64-bit value for each byte, the same for a letter in either case; 0 for the six ASCII blanks."""
+    values = np.array([xxhash.xxh3_64_intdigest(bytes([x]).lower()) | 1 for x in range(256)], U)
+    values[list(b" \t\n\v\f\r")] = 0
+    return values
 
 
-def word_hashes() -> WordHashes:
-    state = worker_state()
-    if not hasattr(state, "word_hashes"):
-        state.word_hashes = WordHashes()
-    return state.word_hashes
+def _powers(base: int, n: int) -> np.ndarray:
+    """``base ** 0 .. base ** (n - 1)`` modulo 2 ** 64."""
+    out = np.full(n, base, U)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
-def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct shingle hashes; bytes.lower() and bytes.split() touch exactly A-Z and the six ASCII blanks."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, U)
-    hashed = np.fromiter(map(word_hashes().__getitem__, words), U, len(words))
-    n = max(1, len(words) - width + 1)
-    out = np.full(n, len(words) if len(words) < width else width, U)
-    for k in range(min(width, len(words))):
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte values, and powers of BASE and of its inverse for at least ``n`` positions."""
+    state = worker_state()
+    found = getattr(state, "jaccard_tables", None)
+    if found is None or len(found[1]) < n:
+        size = max(n, 2 * SLAB_BYTES)
+        tables = _byte_values(), _powers(BASE, size), _powers(pow(BASE, -1, 1 << 64), size)
+        if n > 2 * SLAB_BYTES:  # one very long text: not kept
+            return tables
+        state.jaccard_tables = found = tables
+    return found
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first bytes of the words of ``data``: a polynomial in each word's bytes, A-Z as a-z, then mixed."""
+    if not data:
+        return np.zeros(0, U), np.zeros(0, "i8")
+    values, powers, inverses = _tables(len(data))
+    cells = values[np.frombuffer(data, "u1")]
+    inside = cells != 0
+    starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+    if inside[0]:
+        starts = np.concatenate(([0], starts))
+    if not len(starts):
+        return np.zeros(0, U), starts
+    cells *= powers[:len(cells)]
+    hashed = np.add.reduceat(cells, starts) * inverses[starts]  # the blanks after a word add nothing
+    hashed = (hashed ^ (hashed >> U(31))) * PERMUTE
+    return hashed ^ (hashed >> U(30)), starts
+
+
+def _combined(hashed: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` words."""
+    n = len(hashed) - width + 1
+    out = np.full(max(0, n), width, U)
+    for k in range(width if n > 0 else 0):
         out = (out ^ hashed[k:k + n]) * FACTOR
         out ^= out >> U(29)
     out = (out ^ (out >> U(32))) * PERMUTE
-    out ^= out >> U(32)
-    out.sort()
-    return out if n == 1 else out[np.concatenate(([True], out[1:] != out[:-1]))]
+    return out ^ (out >> U(32))
+
+
+def _slabs(texts):
+    """Lists of consecutive texts of about SLAB_BYTES; a longer text is alone."""
+    held, size = [], 0
+    for text in texts:
+        text = text or b""
+        if held and size + len(text) > SLAB_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
+def shingle_sets(texts, width: int = WIDTH):
+    """Sorted distinct shingle hashes of each text; texts are hashed many at a time."""
+    for slab in _slabs(texts):
+        hashed, starts = word_hashes(b" ".join(slab))
+        edges = np.searchsorted(starts, np.cumsum([0] + [len(x) + 1 for x in slab])).tolist()
+        runs = _combined(hashed, width)
+        for a, b in zip(edges[:-1], edges[1:]):
+            if b - a < 2:
+                yield _combined(hashed[a:b], 1) if b > a else np.zeros(0, U)
+                continue
+            out = runs[a:b - width + 1].copy() if b - a >= width else _combined(hashed[a:b], b - a)
+            out.sort()
+            yield out[np.concatenate(([True], out[1:] != out[:-1]))]
+
+
+def shingles(text: bytes | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct shingle hashes of one text."""
+    return next(shingle_sets([text], width))
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -165,8 +223,7 @@ def _fronts(batches, buckets: int, percent: int):
     """Tokens near either end of each set, a little beyond its plain prefixes, packed by bucket."""
     for batch in batches:
         held = []
-        for text in _texts(batch.column(0)):
-            tokens = shingles(text)
+        for tokens in shingle_sets(_texts(batch.column(0))):
             q = prefix_length(len(tokens), percent) * 13 // 10 + 1
             held += [tokens] if 2 * q >= len(tokens) else [tokens[:q], tokens[-q:]]
         if held:
@@ -201,8 +258,7 @@ def _describe(batches, frequent: Frequent, percent: int):
     names = [x.split()[0] for x in SET_SCHEMA.split(", ")]
     for batch in batches:
         out = [[] for _ in names[1:]]
-        for text in _texts(batch.column(1)):
-            tokens = shingles(text)
+        for tokens in shingle_sets(_texts(batch.column(1))):
             classes = frequent.classes_of(tokens)
             row = [len(tokens), None, 0.0, None, None, None, None, b"", b""]
             if len(tokens):
@@ -307,11 +363,9 @@ def _probes(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 def _verify(pdf: pd.DataFrame, percent: int, frequent: Frequent) -> pd.DataFrame:
     """Links between the probes and the members of one chunk of a group."""
     order = pdf.sort_values("doc_id", kind="stable")
-    sets = {}
-    for doc, text in zip(order["doc_id"], order["text"]):
-        if doc not in sets:
-            tokens = shingles(text)
-            sets[doc] = tokens, np.sort(prefix(tokens, frequent.classes_of(tokens), 2, percent))
+    once = order.drop_duplicates("doc_id")
+    sets = {doc: (tokens, np.sort(prefix(tokens, frequent.classes_of(tokens), 2, percent)))
+            for doc, tokens in zip(once["doc_id"], shingle_sets(once["text"]))}
     probes = [d for d, p in zip(order["doc_id"], order["probe"]) if p]
     members = [d for d, p in zip(order["doc_id"], order["probe"]) if not p]
     out = []
@@ -354,7 +408,7 @@ def verified_links(texts: DataFrame, probes: DataFrame, members: DataFrame, perc
 def _square(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links that join components between the two chunks of one square."""
     pdf = pdf.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
-    sets = [shingles(t) for t in pdf["text"]]
+    sets = list(shingle_sets(pdf["text"]))
     sizes = np.array([len(x) for x in sets])
     own, docs, comps = pdf["own"].to_numpy(), pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy()
     rows, cols = (np.flatnonzero(own == pdf[k].iloc[0]) for k in ("ca", "cb"))

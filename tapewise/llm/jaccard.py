@@ -284,6 +284,11 @@ def unpacked(data: bytes) -> np.ndarray:
     return cells.view("<u8").ravel()
 
 
+#: Component and weight are stored for the nodes in ``joined`` only; any other node is its own component.
+PACKET_PARTS = ["bucket", "tokens", "owners", "nodes", "sizes", "joined", "comps", "weights"]
+PACKET_SCHEMA = "ord int, bucket int, " + ", ".join(f"{x} binary" for x in PACKET_PARTS[1:])
+
+
 def _deal(batches, buckets: int):
     """Prefix tokens of a batch of nodes, as one packed row for each order and bucket."""
     for batch in batches:
@@ -296,16 +301,18 @@ def _deal(batches, buckets: int):
             owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
             by, edges, bucket = by_bucket(tokens, buckets)
             tokens, owner = tokens[by], owner[by].astype("<u4")
-            rows = [[], [], [], [], [], [], []]
+            rows = [[] for _ in PACKET_PARTS]
             for (a, b), number in zip(edges, bucket):
                 own, local = np.unique(owner[a:b], return_inverse=True)
+                joined = np.flatnonzero(weight[own] > 1)
                 values = (int(number), packed(tokens[a:b] << U(24)), local.astype("<u2" if len(own) < 65536 else "<u4").tobytes(),
-                          *(x[own].astype("<i8").tobytes() for x in (node, comp, weight, size)))
+                          node[own].astype("<i8").tobytes(), size[own].astype("<u4").tobytes(), joined.astype("<u4").tobytes(),
+                          *(x[own][joined].astype("<i8").tobytes() for x in (comp, weight)))
                 for column, value in zip(rows, values):
                     column.append(value)
-            kinds = [pa.int32()] + [pa.binary()] * 6
+            kinds = [pa.int32()] + [pa.binary()] * (len(rows) - 1)
             yield pa.RecordBatch.from_arrays([pa.array([order] * len(rows[0]), pa.int32()), *(pa.array(c, k) for c, k in zip(rows, kinds))],
-                                             names=["ord", "bucket", "tokens", "owners", "nodes", "comps", "weights", "sizes"])
+                                             names=["ord", *PACKET_PARTS])
 
 
 def _probes(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -316,12 +323,14 @@ def _probes(key, pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     Of two components the probe goes from the smaller one, so each pair is searched once.
     """
     tokens, nodes, comps, weights, sizes = [], [], [], [], []
-    for t, o, *sides in zip(pdf["tokens"], pdf["owners"], pdf["nodes"], pdf["comps"], pdf["weights"], pdf["sizes"]):
-        found = unpacked(t)
+    for t, o, own, size, joined, comp, weight in zip(*(pdf[x] for x in PACKET_PARTS[1:])):
+        found, own = unpacked(t), np.frombuffer(own, "<i8")
         local = np.frombuffer(o, "<u2" if len(o) == 2 * len(found) else "<u4")
+        joined, own_comp, own_weight = np.frombuffer(joined, "<u4"), own.copy(), np.ones(len(own), "i8")
+        own_comp[joined], own_weight[joined] = np.frombuffer(comp, "<i8"), np.frombuffer(weight, "<i8")
         tokens.append(found)
-        for kept, side in zip((nodes, comps, weights, sizes), sides):
-            kept.append(np.frombuffer(side, "<i8")[local])
+        for kept, side in zip((nodes, comps, weights, sizes), (own, own_comp, own_weight, np.frombuffer(size, "<u4").astype("i8"))):
+            kept.append(side[local])
     tokens, nodes, comps, weights, sizes = (np.concatenate(x) for x in (tokens, nodes, comps, weights, sizes))
     # rank 0 is the largest component
     by = np.lexsort((comps, -weights))
@@ -499,7 +508,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     known = alone.join(comps, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("comp"),
                                                      F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
     dealt = some.join(known, "doc_id").select("doc_id", "comp", "weight", "n_shingles", "prefix1", "prefix2")
-    packets = dealt.mapInArrow(lambda b: _deal(b, buckets), "ord int, bucket int, tokens binary, owners binary, nodes binary, comps binary, weights binary, sizes binary")
+    packets = dealt.mapInArrow(lambda b: _deal(b, buckets), PACKET_SCHEMA)
     found = packets.groupBy("ord", "bucket").applyInPandas(lambda key, pdf: _probes(key, pdf, percent),
                                                            "ord int, kind int, g long, node long, comp long")
     found = materialize(found, "jaccard-candidates")

@@ -98,9 +98,9 @@ def portfolio_metrics(df: DataFrame, subset: Column | DataFrame, label: str = "d
         (F.lit(100.0) * F.col("n_subset") / F.col("n_total")).alias("pct_picked"))
 
 
-def union_dedup(dfs: Sequence[DataFrame], key: str) -> DataFrame:
-    """Append selections and keep one row per key (shuffle on the key)."""
-    return reduce(lambda a, b: a.unionByName(b), dfs).dropDuplicates([key])
+def union_dedup(dfs: Sequence[DataFrame]) -> DataFrame:
+    """Append selections and drop exact duplicates; rows that share a key but differ all stay."""
+    return reduce(lambda a, b: a.unionByName(b), dfs).distinct()
 
 
 def membership_flag(df: DataFrame, subset: DataFrame, key: str, out: str = "in_subset") -> DataFrame:

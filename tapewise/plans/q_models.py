@@ -1,22 +1,28 @@
 """Registered queries: fitted models, cross-validation, tuning and comparisons.
 
-Fitted-model outputs have no SQL twin (rows-only check) except the two whose
-numbers SQL can reproduce: the exact k-NN vote on ``embeddings`` and the
-Gaussian naive Bayes class statistics.  The tape is random, so these queries
+Fitted-model outputs have no SQL twin (rows-only check) except those whose
+numbers SQL can reproduce: the exact k-NN vote on ``embeddings``, Gaussian
+naive Bayes (statistics, predictions and cross-validated scores) and the
+logistic fits on one dummy.  The tape is random, so these queries
 exercise the machinery; the planted-signal tests in ``tests/`` check that
 the models learn.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tapewise.operators import curves as C
 from tapewise.operators import models as M
 from tapewise.operators import tune as T
+from tapewise.operators.portfolio import criteria_dummies
 from tapewise.operators.split import random_split
-from tapewise.plans.q_split import hash_sql
+from tapewise.plans.q_returns import ALL_SQL
+from tapewise.plans.q_split import SPLIT_SQL, hash_sql
 from tapewise.plans.registry import query, r6, tape_sql
 from tapewise.sources.fixture import labelled_tape, read_table
 
@@ -117,6 +123,89 @@ def q_gaussian_nb_stats(spark, d):
     return M.naive_bayes_stats(model, NB_COLS)
 
 
+def _nb_sql(rows: str, models: str, used: str, scored: str) -> str:
+    """CTEs ``nb_pred (model, loan_id, fold, label, prediction)``: Gaussian naive Bayes fitted on the ``rows``
+    for which ``used`` holds and applied where ``scored`` holds, once for each model number ``m``."""
+    stats = ", ".join(f"avg({c}) AS mean_{c}, var_pop({c}) AS var_{c}" for c in NB_COLS)
+    log_density = " ".join(f"- 0.5::DOUBLE * ln(2 * pi() * (var_{c} + eps)) - (r.{c} - mean_{c}) ** 2 / (2 * (var_{c} + eps))"
+                           for c in NB_COLS)
+    return f""",
+rw AS ({rows}),
+mm AS (SELECT unnest({models}) AS m),
+eps AS (SELECT m, 1e-9 * greatest({", ".join(f"var_pop({c})" for c in NB_COLS)}) AS eps, count(*) AS n
+        FROM rw JOIN mm ON {used} GROUP BY m),
+st AS (SELECT m, default_flag AS c, count(*) AS nc, {stats} FROM rw JOIN mm ON {used} GROUP BY m, default_flag),
+ll AS (SELECT m, r.loan_id, r.fold, r.default_flag AS label, c,
+              ln(nc / n) {log_density} AS l
+       FROM rw r JOIN mm ON {scored} JOIN st USING (m) JOIN eps USING (m)),
+nb_pred AS (SELECT m AS model, loan_id, fold, label, arg_max(c, l) AS prediction FROM ll GROUP BY ALL)
+"""
+
+
+NB_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in NB_COLS)
+
+
+@query("gaussian_nb_predictions", tape_sql(
+    _nb_sql(f"SELECT *, CAST({SPLIT_SQL} = 'test' AS INTEGER) AS fold FROM loan_tape WHERE {NB_COMPLETE}", "[1]", "fold <> m", "r.fold = m")
+    + "SELECT loan_id, label, prediction FROM nb_pred"))
+def q_gaussian_nb_predictions(spark, d):
+    """Predicted class of every test row (complete rows, 20 % hash split)."""
+    t = random_split(labelled_tape(spark, d).dropna(subset=NB_COLS), "loan_id", 0.2, seed=3)
+    spec = M.FeatureSpec(numeric=NB_COLS, categorical=[], label="default_flag", key="loan_id")
+    tr, te, _ = M.prepare(t.filter("part = 'train'"), t.filter("part = 'test'"), spec)
+    _, scored = M.fit_score(M.gaussian_nb(), tr, te, "loan_id")
+    return scored.select("loan_id", F.col(M.LABEL).cast("int").alias("label"), "prediction")
+
+
+# model -1 is fitted and scored on all rows, model k on all folds but k
+@query("classification_scores_nb", tape_sql(
+    _nb_sql(f"SELECT *, CAST({hash_sql(repr('0'))} % 3 AS INTEGER) AS fold FROM loan_tape WHERE {NB_COMPLETE}",
+            "[-1, 0, 1, 2]", "fold <> m", "m = -1 OR r.fold = m")
+    + """, cells AS (SELECT fold, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+                   count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+                   count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+                   count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn
+            FROM nb_pred WHERE model >= 0 GROUP BY GROUPING SETS ((fold), ())),
+-- the area under the curve of hard labels is the mean of both classes' recalls
+f AS (SELECT *, (tp / (tp + fn) + tn / (tn + fp)) / 2 AS auc, (tp + tn) / (tp + fp + fn + tn) AS acc,
+             greatest(tp + fn, tn + fp) / (tp + fp + fn + tn) AS base FROM cells)
+SELECT 'gaussian_nb' AS model,
+       round((SELECT avg(CAST(label = prediction AS INTEGER)) FROM nb_pred WHERE model = -1), 6) AS train_accuracy,
+       round(a.auc, 6) AS auc_hard, a.tp, a.fp, a.fn, a.tn,
+       round((SELECT avg(auc) FROM f WHERE fold IS NOT NULL), 6) AS mean_fold_auc,
+       round((SELECT avg(acc) FROM f WHERE fold IS NOT NULL), 6) AS mean_fold_accuracy,
+       round((SELECT avg(base) FROM f WHERE fold IS NOT NULL), 6) AS mean_baseline
+FROM f a WHERE a.fold IS NULL"""))
+def q_classification_scores_nb(spark, d):
+    """Cross-validated scores of Gaussian naive Bayes (complete rows, 3 hashed folds)."""
+    spec = M.FeatureSpec(numeric=NB_COLS, categorical=[], label="default_flag", key="loan_id")
+    data, _, _ = M.prepare(labelled_tape(spark, d).dropna(subset=NB_COLS), None, spec)
+    return T.classification_scores(M.gaussian_nb(), data, "loan_id", folds=3, seed=0, name="gaussian_nb")[0]
+
+
+DUMMIES = {"dummy_grade": "grade IN ('2', '3', '5')", "dummy_purpose": "purpose IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY')",
+           "dummy_modflag": "modified_flag = false", "dummy_inq6mo": "inquiries_6m <= 0", "dmy_all": ALL_SQL}
+
+
+@query("logistic_dummies", tape_sql("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS dummy, coalesce(CAST({rule} AS INTEGER), 0) AS value, {r6('avg(default_flag)', 5)} AS score "
+    "FROM loan_tape GROUP BY ALL" for name, rule in DUMMIES.items())), round_digits=5)
+def q_logistic_dummies(spark, d):
+    """Unpenalised logistic fits on one criteria dummy each: the fitted probability per dummy value (the class rate)."""
+    crit = {name: F.expr(rule) for name, rule in DUMMIES.items()}
+    tape = criteria_dummies(labelled_tape(spark, d), crit, None)
+    out = []
+    for name in DUMMIES:
+        data, _, _ = M.prepare(tape, None, M.FeatureSpec(numeric=[name], categorical=[], label="default_flag", key="loan_id"))
+        # one row per (value, label) with its count as weight fits the same model
+        data = data.groupBy(M.FEATURES, M.LABEL).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        model = M.logistic("none").setTol(1e-12).setWeightCol("weight").fit(data)
+        cells = data.select(M.FEATURES).distinct()
+        out.append(model.transform(cells).select(F.lit(name).alias("dummy"), vector_to_array(M.FEATURES)[0].cast("int").alias("value"),
+                                                 M.score_column(model).alias("score")))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 KNN_SEED = 7
 
 
@@ -154,6 +243,21 @@ def q_classification_scores(spark, d):
     return out
 
 
+def _cv_scores(spark, d, estimator, name):
+    data, _, _ = M.prepare(labelled_tape(spark, d), None, _spec())
+    return T.classification_scores(estimator, data, "loan_id", folds=3, seed=0, name=name)[0]
+
+
+@query("classification_scores_forest")
+def q_classification_scores_forest(spark, d):
+    return _cv_scores(spark, d, M.random_forest(num_trees=100, max_depth=10, seed=3), "random_forest")
+
+
+@query("classification_scores_svm")
+def q_classification_scores_svm(spark, d):
+    return _cv_scores(spark, d, M.linear_svm(), "linear_svm")
+
+
 # Depth sweep: the original grid is 1..50; Spark trees stop at depth 30.
 DEPTHS = list(range(1, 31))
 

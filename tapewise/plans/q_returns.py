@@ -152,7 +152,7 @@ def q_union_dedup(spark, d):
     t = labelled_tape(spark, d).select("loan_id", "grade", "purpose", "state")
     parts = [t.filter(F.col("grade").isin("1", "2")), t.filter(F.col("purpose") == "BUILDING"),
              t.filter(F.col("state").isin("ALGERIA", "BRAZIL"))]
-    return PF.union_dedup(parts, "loan_id")
+    return PF.union_dedup(parts)
 
 
 @query("membership_flag", tape_sql(

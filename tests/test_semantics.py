@@ -279,9 +279,11 @@ def test_edit_criteria_and_union_dedup(spark):
     assert out == {"Grade": ["B", "C", "E"], "State": ["CA"]}
     t = labelled_tape(spark, SF001).select("loan_id", "grade", "purpose")
     parts = [t.filter(F.col("grade") == "1"), t.filter(F.col("purpose") == "BUILDING"), t.filter(F.col("grade") == "1")]
-    u = PF.union_dedup(parts, "loan_id")
+    u = PF.union_dedup(parts)
     assert u.count() == u.select("loan_id").distinct().count() == t.filter(
         (F.col("grade") == "1") | (F.col("purpose") == "BUILDING")).count()
+    a, b = (spark.createDataFrame(r, "loan_id long, grade string") for r in ([(1, "A"), (2, None)], [(1, "B"), (2, None)]))
+    assert sorted(map(tuple, PF.union_dedup([a, b]).collect()), key=str) == [(1, "A"), (1, "B"), (2, None)]
 
 
 def test_origin_point_is_dropped_as_undefined(spark):

@@ -75,10 +75,20 @@ class _Pieces(dict):
                 ids += self.words[last]
         return ids
 
+    def first(self, head: str) -> bytes:
+        """Ids of the piece that begins a text."""
+        found = _PLAIN.fullmatch(head)
+        if not found or found[3]:
+            return raw_ids(self.tokenizer, head)
+        ids = self.words[self.shown(found[1])]
+        return ids + self.words[found[2]] if found[2] else ids
+
     def __missing__(self, piece: str) -> bytes:
         found = _PLAIN.fullmatch(piece)
         if found:
             ids = self.plain(*found.groups())
+            if found[3]:  # pairs of words across a line end rarely come again
+                return ids
         elif not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Uneven
         else:
@@ -114,7 +124,7 @@ class Encoder:
         if not head or head[-1].isspace():
             return raw_ids(self.tokenizer, text)
         try:
-            return raw_ids(self.tokenizer, head) + b"".join(map(self.pieces.__getitem__, rest))
+            return self.pieces.first(head) + b"".join(map(self.pieces.__getitem__, rest))
         except _Uneven:
             return raw_ids(self.tokenizer, text)
 

@@ -16,6 +16,14 @@ one is a candidate; its text is compared byte by byte with the first one's.
 Neighbouring equal chunks form a block, and blocks of ``MIN_WORDS`` words or
 more are removed; shorter repetitions (a common short line) stay.
 
+A passage's outer chunks depend on the frequencies around it, so a second pass
+compares what the chunks leave by windows of lines: at each line with words the
+shortest window of ``MIN_WORDS`` words that starts there, and the shortest one
+that ends there.  They depend on the passage only and cover it, so every run of
+lines of ``MIN_WORDS`` words that stands earlier as a whole is found (from its
+first to its last line with words).  Neighbouring windows with one first
+occurrence are joined, compared byte by byte and removed.
+
 Hot lines and chunks are counted with partial aggregates, and joins on their
 hashes can be split by the adaptive optimizer.  No window holds more than one
 document's repeated lines.
@@ -52,13 +60,17 @@ def word_count(line: Column) -> Column:
     return F.size(F.filter(F.split(line, " "), lambda w: w != ""))
 
 
-def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """(doc_id, first, last, words, chunk): chunks of repeated lines; ``chunk`` hashes the line hashes."""
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, pos, h, words, df): the lines that occur more than once, ``h`` their hash."""
     lines = docs.filter("text is not null").select(
         "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     thin = lines.select("doc_id", "pos", F.xxhash64("line").alias("h"), word_count(F.col("line")).cast("int").alias("words"))
     frequency = (lines.select(F.xxhash64("line").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"))
-    seen = thin.join(frequency, "h")
+    return thin.join(frequency, "h").select("doc_id", "pos", "h", "words", "df")
+
+
+def repeated_chunks(seen: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """(doc_id, first, last, words, chunk): chunks of repeated lines; ``chunk`` hashes the line hashes."""
     w = Window.partitionBy("doc_id").orderBy("pos")
     near = (F.lag("pos").over(w) == F.col("pos") - 1) & (F.lag("df").over(w) == F.col("df"))
     seen = seen.withColumn("near", F.coalesce(near, F.lit(False))).withColumn("h1", F.lag("h").over(w))
@@ -72,6 +84,67 @@ def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
         F.xxhash64(F.transform(in_order, lambda x: x["h"])).alias("chunk")).drop("number")
 
 
+def repeated_runs(seen: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, start, hashes, worded): runs of neighbouring repeated lines, of ``min_words`` words or more.
+
+    ``worded`` has the lines with words: index in the run, words, and words up to and with the line.
+    """
+    w = Window.partitionBy("doc_id").orderBy("pos")
+    runs = seen.withColumn("run", F.col("pos") - F.row_number().over(w))
+    so_far = Window.partitionBy("doc_id", "run").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumn("total", F.sum("words").over(so_far))
+    runs = runs.groupBy("doc_id", "run").agg(F.min("pos").alias("start"), F.sum("words").alias("all"), F.array_sort(
+        F.collect_list(F.struct("pos", "h", "words", "total"))).alias("lines")).filter(F.col("all") >= min_words)
+    worded = F.filter(F.col("lines"), lambda x: x["words"] > 0)
+    return runs.select("doc_id", "start", F.transform("lines", lambda x: x["h"]).alias("hashes"), F.transform(
+        worded, lambda x: F.struct((x["pos"] - F.col("start")).alias("i"), x["words"].alias("words"), x["total"].alias("total"))).alias("worded"))
+
+
+def shortest_windows(runs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, first, last, chunk): the shortest windows of ``min_words`` words that start or end at each line with words.
+
+    ``runs`` is a stored table, so its arrays are not built anew for each element.  A window has at
+    most ``min_words`` lines with words, which bounds both searches.
+    """
+    worded = F.col("worded")
+
+    def forward(x, k):
+        ends = F.filter(F.slice(worded, k + 1, F.lit(min_words)), lambda y: y["total"] >= x["total"] - x["words"] + min_words)
+        return F.struct(x["i"].alias("a"), F.get(ends, F.lit(0))["i"].alias("z"))
+
+    def backward(x, k):
+        back = F.slice(worded, F.greatest(k + 2 - min_words, F.lit(1)), F.least(k + 1, F.lit(min_words)))
+        begins = F.filter(back, lambda y: y["total"] - y["words"] <= x["total"] - min_words)
+        return F.struct(F.try_element_at(begins, F.lit(-1))["i"].alias("a"), x["i"].alias("z"))
+
+    both = F.array_union(F.transform(worded, forward), F.transform(worded, backward))
+    whole = F.filter(both, lambda x: x["a"].isNotNull() & x["z"].isNotNull())
+    hashed = F.transform(whole, lambda x: F.struct(
+        (F.col("start") + x["a"]).alias("first"), (F.col("start") + x["z"]).alias("last"),
+        F.xxhash64(F.slice("hashes", x["a"] + 1, x["z"] - x["a"] + 1)).alias("chunk")))
+    return runs.select("doc_id", F.inline(hashed))
+
+
+def window_candidates(windows: DataFrame, removed: DataFrame) -> DataFrame:
+    """Joined later windows and their first occurrence, but for those within one of ``removed`` (doc_id, first, last)."""
+    firsts = windows.groupBy("chunk").agg(F.min(F.struct("doc_id", "first", "last")).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    later = windows.join(firsts, "chunk").select("doc_id", "first", "last", F.col("at.doc_id").alias("o_doc"),
+                                                 F.col("at.first").alias("o_first"), F.col("at.last").alias("o_last"))
+    # a window over its own first occurrence (one line again and again) is no copy
+    later = later.filter("doc_id <> o_doc or first > o_last")
+    w = Window.partitionBy("doc_id", "o_doc", "shift").orderBy("first", "last")
+    later = later.withColumn("shift", F.col("first") - F.col("o_first"))
+    reached = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    later = later.withColumn("starts", F.coalesce((F.col("first") > reached + 1).cast("int"), F.lit(1)))
+    later = later.withColumn("number", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = later.groupBy("doc_id", "o_doc", "shift", "number").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.min("o_first").alias("o_first"), F.max("o_last").alias("o_last"))
+    blocks = removed.select(F.col("doc_id").alias("r_doc"), F.col("first").alias("r_first"), F.col("last").alias("r_last"))
+    left = joined.join(blocks, (F.col("doc_id") == F.col("r_doc")) & (F.col("r_first") <= F.col("first")) & (F.col("r_last") >= F.col("last")), "left_anti")
+    return left.select("doc_id", "first", "last", F.lit(0).alias("words"), F.concat_ws(":", "o_doc", "o_first", "o_last").alias("chunk"),
+                       "o_doc", "o_first", "o_last")
+
+
 def text_of(lines: Column, first: Column, last: Column) -> Column:
     return F.array_join(F.slice(lines, first + 1, last - first + 1), "\n")
 
@@ -79,13 +152,24 @@ def text_of(lines: Column, first: Column, last: Column) -> Column:
 def removals(docs: DataFrame, min_words: int = MIN_WORDS, divisor: int = DIVISOR) -> DataFrame:
     """(doc_id, gone): the numbers of the lines to remove, after the byte comparison."""
     docs = with_own_id(docs)
-    chunks = materialize(repeated_chunks(docs, divisor), "line-chunks")
+    seen = materialize(repeated_lines(docs), "line-repeated")
+    chunks = materialize(repeated_chunks(seen, divisor), "line-chunks")
     firsts = chunks.groupBy("chunk").agg(F.min(F.struct("doc_id", "first", "last")).alias("at"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = firsts.select("chunk", F.col("at.doc_id").alias("o_doc"), F.col("at.first").alias("o_first"), F.col("at.last").alias("o_last"))
     later = chunks.join(firsts, "chunk").filter("not (doc_id = o_doc and first = o_first)")
     later = later.select("doc_id", "first", "last", "words", "chunk", "o_doc", "o_first", "o_last")
     later = materialize(_in_blocks(later, min_words), "line-candidates")
+    kept = materialize(_in_blocks(equal_to_first(docs, later), min_words).select("doc_id", "first", "last"), "line-blocks")
+
+    runs = materialize(repeated_runs(seen, min_words), "line-runs")
+    windows = materialize(shortest_windows(runs, min_words), "line-windows")
+    rest = materialize(window_candidates(windows, _joined(kept)), "line-rest")
+    kept = kept.unionByName(equal_to_first(docs, rest).select("doc_id", "first", "last"))
+    return kept.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last")))).alias("gone"))
+
 
+def equal_to_first(docs: DataFrame, later: DataFrame) -> DataFrame:
+    """(doc_id, first, last, words) of the rows of ``later`` whose text is their first occurrence's."""
     # the first occurrence's text travels to each candidate's document; one exchange of the texts serves both sides
     texts = docs.select("doc_id", "text")
     ids = checkpointed(later.select("doc_id").unionByName(later.select(F.col("o_doc").alias("doc_id"))).distinct())
@@ -102,9 +186,15 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, divisor: int = DIVISOR
     lines = texts.join(asked, F.col("doc_id") == F.col("l_doc")).select(
         "doc_id", F.split("text", "\n", -1).alias("lines"), "asked")
     equal = lines.select("doc_id", F.filter("asked", lambda x: text_of(F.col("lines"), x["first"], x["last"]) == x["original"]).alias("same"))
-    same = equal.select("doc_id", F.explode("same").alias("x")).select("doc_id", "x.first", "x.last", "x.words").distinct()
-    kept = _in_blocks(same, min_words)
-    return kept.groupBy("doc_id").agg(F.flatten(F.collect_list(F.sequence("first", "last"))).alias("gone"))
+    return equal.select("doc_id", F.explode("same").alias("x")).select("doc_id", "x.first", "x.last", "x.words").distinct()
+
+
+def _joined(chunks: DataFrame) -> DataFrame:
+    """(doc_id, first, last) of the runs of neighbouring chunks."""
+    w = Window.partitionBy("doc_id").orderBy("first")
+    starts = F.coalesce((F.lag("last").over(w) + 1 != F.col("first")).cast("int"), F.lit(1))
+    numbered = chunks.withColumn("block", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("doc_id", "block").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("block")
 
 
 def _in_blocks(chunks: DataFrame, min_words: int) -> DataFrame:

@@ -221,6 +221,52 @@ def test_line_dedup(spark, docs, none):
     assert linededup.line_dedup(none).count() == 0
 
 
+def repeated_passages(texts):
+    """(doc, line) of the lines in a run of MIN_WORDS words, with words at both ends, that stands earlier as a whole."""
+    split = {d: t.split("\n") for d, t in texts.items()}
+    places = [(d, i) for d in sorted(split) for i in range(len(split[d]))]
+    found = set()
+    for n, (d, i) in enumerate(places):
+        for o, j in places[:n]:
+            size = 0
+            while (i + size < len(split[d]) and j + size < len(split[o]) and split[d][i + size] == split[o][j + size]
+                   and (o != d or j + size < i)):
+                size += 1
+                run = split[d][i:i + size]
+                if run[0].strip() and run[-1].strip() and len(" ".join(run).split()) >= linededup.MIN_WORDS:
+                    found |= {(d, k) for k in range(i, i + size)}
+    return found
+
+
+def test_line_dedup_leaves_no_repeated_passage(spark):
+    # a long line beside other repeated lines of its own frequency: the chunks around it differ
+    texts = {}
+    for k in range(12):
+        a, b, c = words(81, 3000 + k), words(10, 3100 + k), words(10, 3200 + k)
+        texts |= {10 * k + 1: f"{a}\n{b}", 10 * k + 2: f"{a}\n{c}", 10 * k + 3: f"{b}\nx{k}\n{c}"}
+    # passages at random places among short, empty and equal lines
+    rng = random.Random(8)
+    pool = ["", "", " ", "tick"] + [words(rng.choice([3, 9, 15, 22]), 3300 + k) for k in range(14)] + [words(41, 3400)]
+    passages = [[rng.choice(pool) for _ in range(rng.randint(2, 7))] for _ in range(8)]
+    for d in range(1000, 1030):
+        lines = []
+        for _ in range(rng.randint(1, 4)):
+            lines += rng.choice(passages) + [rng.choice(pool) for _ in range(rng.randint(0, 3))] + [words(5, rng.random())] * rng.randint(0, 1)
+        texts[d] = "\n".join(lines)
+    texts[2000] = "\n".join([words(20, 3500)] * 5)
+    table_ = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    gone = {(r.doc_id, i) for r in linededup.removals(table_).collect() for i in r.gone}
+    want = repeated_passages(texts)
+    assert {(10 * k + 2, 0) for k in range(12)} <= want
+    assert not want - gone
+    # the first of equal lines stays
+    every = [(t, (d, i)) for d in sorted(texts) for i, t in enumerate(texts[d].split("\n"))]
+    firsts = {}
+    for t, at in every:
+        firsts.setdefault(t, at)
+    assert not gone & set(firsts.values())
+
+
 ITEMS = [(1, words(30, 21) + ". What is it?\nAnswer " + words(6, 22) + "."), (2, None), (3, "too short"), (4, words(200, 23)), (4, words(200, 23))]
 
 

@@ -12,7 +12,8 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark import SparkContext
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,31 +167,53 @@ def roc_comp(train: DataFrame, test: DataFrame, models: Mapping[str, object], ke
     return table, C.roc_curve(allsc, LABEL, "score", by=["model"])
 
 
+def first_trees(model, n: int):
+    """The boosted model of the first ``n`` trees of ``model``: boosting is sequential, so a fit of ``n`` iterations gives the same."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    all_trees, all_weights = java.trees(), java.treeWeights()
+    for i in range(n):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    return GBTClassificationModel(gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights))
+
+
 def repeated_cv_search(estimator, grid: Sequence[Mapping[str, object]], data: DataFrame, key: str,
                        k: int = 4, repeats: int = 4, seed: int = 0, parallelism: int = 4) -> tuple[DataFrame, dict]:
     """Grid search with repeated k-fold cross-validation (``repeatedcv`` style).
 
     Each (grid point, repeat, fold) is one fit, run from a bounded thread
-    pool; every held-out prediction is tagged and the per-fold ROC AUCs are
+    pool; boosted points that differ in their tree count only share the largest
+    one's fit, as caret does.  Every held-out prediction is tagged and the per-fold ROC AUCs are
     computed in one grouped job.  Returns (``combo, params, mean_auc, sd_auc,
     n_folds`` per grid point, best parameter dict by mean AUC, first on ties).
     """
     from tapewise.operators.split import repeated_kfold
 
     folded = repeated_kfold(data, key, k=k, repeats=repeats, seed=seed).persist()
-    tasks = [(ci, r, f) for ci in range(len(grid)) for r in range(repeats) for f in range(k)]
+    boosted = isinstance(estimator, GBTClassifier)
+    fits: dict = {}  # points by all that a fit of their own needs
+    for ci, g in enumerate(grid):
+        fits.setdefault(tuple(sorted((n, v) for n, v in g.items() if n != "maxIter" or not boosted)), []).append(ci)
+    tasks = [(cis, r, f) for cis in fits.values() for r in range(repeats) for f in range(k)]
 
     def one(task):
-        ci, r, f = task
-        est = estimator.copy({estimator.getParam(n): v for n, v in grid[ci].items()})
+        cis, r, f = task
+        trees = {ci: grid[ci].get("maxIter", estimator.getOrDefault("maxIter")) for ci in cis} if boosted else {}
+        largest = max(cis, key=lambda ci: trees.get(ci, 0))
+        est = estimator.copy({estimator.getParam(n): v for n, v in grid[largest].items()})
         part = folded.filter(F.col("repeat") == r)
-        model = est.fit(part.filter(F.col("fold") != f))
-        return (model.transform(part.filter(F.col("fold") == f))
-                .select(key, LABEL, score_column(model).alias("score"))
-                .withColumns({"combo": F.lit(ci), "rep": F.lit(r), "fold": F.lit(f)}))
+        full = est.fit(part.filter(F.col("fold") != f))
+        out = []
+        for ci in cis:
+            model = full if ci == largest else first_trees(full, trees[ci])
+            out.append(model.transform(part.filter(F.col("fold") == f))
+                       .select(key, LABEL, score_column(model).alias("score"))
+                       .withColumns({"combo": F.lit(ci), "rep": F.lit(r), "fold": F.lit(f)}))
+        return out
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scored = list(pool.map(one, tasks))
+        scored = [s for out in pool.map(one, tasks) for s in out]
     per_fold = C.roc_auc(_union(scored), LABEL, "score", by=["combo", "rep", "fold"])
     summary = per_fold.groupBy("combo").agg(F.avg("auc_roc").alias("mean_auc"), F.stddev_samp("auc_roc").alias("sd_auc"),
                                             F.count(F.lit(1)).alias("n_folds"))

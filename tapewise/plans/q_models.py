@@ -268,11 +268,11 @@ def q_sweep(spark, d):
     return T.sweep(tr.persist(), te, "max_depth", DEPTHS, "loan_id", parallelism=8)
 
 
-def tuning_grids(n_features: int, every: int = 10) -> dict:
-    """The original four grids (100, 50, 50 and p-1 values), thinned to every ``every``-th value."""
+def tuning_grids(n_features: int, every: int = 1) -> dict:
+    """The original four grids (100, 50, 50 and p-1 values; depths up to Spark's 30), or every ``every``-th value of them."""
     return {
         "min_samples_split": [float(v) for v in np.linspace(0.01, 1, 100)[::every]],
-        "min_samples_leaf": [float(v) for v in np.linspace(0.01, 0.5, 50)[::every] if v < 0.5],
+        "min_samples_leaf": [float(v) for v in np.linspace(0.01, 0.5, 50)[::every]],
         "max_depth": [v for v in range(1, 31)][::every // 2 or 1],
         "max_features": list(range(1, n_features))[::max(1, every // 5)],
     }
@@ -333,8 +333,8 @@ def q_nested_feature_models(spark, d):
     return T.nested_feature_models(train, test, sets, _comparison_models, "loan_id")
 
 
-# caret's default boosting grid varies depth and tree count; this grid keeps its depths 1-3 at 50 trees
-GBM_GRID = [{"maxDepth": 1, "maxIter": 50}, {"maxDepth": 2, "maxIter": 50}, {"maxDepth": 3, "maxIter": 50}]
+# caret's default boosting grid: depths 1-3 by 50, 100 and 150 trees
+GBM_GRID = [{"maxDepth": depth, "maxIter": trees} for depth in (1, 2, 3) for trees in (50, 100, 150)]
 
 
 @query("gbm_repeated_cv")

@@ -122,6 +122,27 @@ def test_repeated_cv_search_picks_a_grid_point(planted):
     assert best == {"maxDepth": 4}  # the planted interaction needs depth
 
 
+def test_registered_grids_are_whole():
+    from tapewise.plans import q_models as Q
+
+    grids = Q.tuning_grids(11)
+    assert {p: len(v) for p, v in grids.items()} == {"min_samples_split": 100, "min_samples_leaf": 50, "max_depth": 30, "max_features": 10}
+    assert grids["min_samples_split"][-1] == 1.0 and grids["min_samples_leaf"][-1] == 0.5
+    assert sorted((g["maxDepth"], g["maxIter"]) for g in Q.GBM_GRID) == [(d, n) for d in (1, 2, 3) for n in (50, 100, 150)]
+
+
+def test_boosted_points_share_a_fit(planted):
+    tr, te, _ = planted
+    long = M.gradient_boosting(max_iter=9, step_size=0.1, max_depth=2, seed=3).fit(tr)
+    short = M.gradient_boosting(max_iter=4, step_size=0.1, max_depth=2, seed=3).fit(tr)
+    cut = T.first_trees(long, 4)
+    got, want = ({r[0]: r[1] for r in m.transform(te).select("loan_id", M.score_column(m)).collect()} for m in (cut, short))
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in got) < 1e-9
+    grid = [{"maxDepth": 1, "maxIter": n} for n in (3, 1, 2)]
+    summary, _ = T.repeated_cv_search(M.gradient_boosting(step_size=0.1, seed=3), grid, tr, "loan_id", k=2, repeats=1)
+    assert {(r.combo, r.params, r.n_folds) for r in summary.collect()} == {(i, f"maxDepth=1, maxIter={g['maxIter']}", 2) for i, g in enumerate(grid)}
+
+
 def test_one_hot_feature_pipeline(spark):
     t = labelled_tape(spark, SF0001)
     spec = M.FeatureSpec(numeric=["apr"], categorical=["grade", "purpose"], one_hot=True)

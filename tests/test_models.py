@@ -131,6 +131,25 @@ def test_registered_grids_are_whole():
     assert sorted((g["maxDepth"], g["maxIter"]) for g in Q.GBM_GRID) == [(d, n) for d in (1, 2, 3) for n in (50, 100, 150)]
 
 
+@pytest.mark.parametrize("name, trees", [("random_forest", 1000), ("feature_importance", 1000), ("classification_scores_forest", 1000),
+                                         ("roc_comp", 100), ("nested_feature_models", 100)])
+def test_registered_forests_are_whole(spark, monkeypatch, name, trees):
+    from tapewise.plans import q_models as Q
+
+    class Asked(Exception):
+        pass
+
+    def forest(num_trees, max_depth, **kw):
+        raise Asked(num_trees, max_depth)
+
+    monkeypatch.setattr(M, "random_forest", forest)
+    with pytest.raises(Asked) as asked:
+        {"random_forest": Q.q_random_forest, "feature_importance": Q.q_feature_importance, "roc_comp": Q.q_roc_comp,
+         "classification_scores_forest": Q.q_classification_scores_forest,
+         "nested_feature_models": Q.q_nested_feature_models}[name](spark, SF0001)
+    assert asked.value.args == (trees, 30)
+
+
 def test_boosted_points_share_a_fit(planted):
     tr, te, _ = planted
     long = M.gradient_boosting(max_iter=9, step_size=0.1, max_depth=2, seed=3).fit(tr)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewise.llm import decontaminate, exactdedup, htmltext, jaccard, linededup, packing, sharding, tokenfile, toxicity, warc
+from tapewise.llm import decontaminate, exactdedup, htmltext, jaccard, linededup, negatives, packing, repair, sharding, simhash, \
+    tokenfile, toxicity, warc
 from tapewise.llm.common import scratch, table
 
 
@@ -69,9 +70,27 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation after its damage."""
+    return repair.repair_report(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and its positives; every seventh label is moved on by one first."""
+    rows = negatives.usable(table(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    found = negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_toxicity, op3_html_text, op4_token_file, op5_line_dedup, op6_sharding,
-                            op7_exact_dedup, op8_warc, op9_packing, op10_jaccard)
+                            op7_exact_dedup, op8_warc, op9_packing, op10_jaccard, op11_conversation_repair, op12_simhash, op13_hard_negatives)
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -82,4 +101,21 @@ ORACLES: dict[str, str] = {
              g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM n JOIN g USING (norm)""",
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+                   FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                          CAST(list_sum(list_transform(range(1, len(a.c) + 1), lambda i: a.c[i] * b.c[i])) AS BIGINT) AS score
+                   FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+             p AS (SELECT * FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, p.id AS positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+               n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+                       AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+        QUALIFY rank <= 10""",
 }

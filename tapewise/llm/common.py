@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import types
 import uuid
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,9 +62,30 @@ def by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
-def worker_state() -> types.ModuleType:
-    """Objects kept by a Python worker across its tasks (caches of read-only things)."""
-    return sys.modules.setdefault("_tapewise_worker_state", types.ModuleType("_tapewise_worker_state"))
+def worker_state(owner: str) -> types.ModuleType:
+    """Read-only things that ``owner``'s tasks keep in a Python worker; those that another owner left are dropped."""
+    name = "_tapewise_worker_state"
+    if name not in sys.modules or sys.modules[name].owner != owner:
+        sys.modules[name] = types.ModuleType(name)
+        sys.modules[name].owner = owner
+    return sys.modules[name]
+
+
+def tidied(batches):
+    """The batches of a task; unused memory goes back to the system between them and at the end."""
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, or a longer one that no column of ``frames`` has (whatever its case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_or_empty(col="text"):

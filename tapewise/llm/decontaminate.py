@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import by_value, text_or_empty
+from tapewise.llm.common import by_value, free_name, text_or_empty, tidied
 
 GRAM = 3
 SEGMENT = 64
@@ -214,7 +214,7 @@ def _numbered(index: Index):
 
 
 def passage_hits(ids: np.ndarray, index: Index, threshold: float, overlap: float) -> list[tuple]:
-    """(item, passage start, score, question overlap, answer overlap) of one text's word numbers; the best passage per item."""
+    """(item, passage start, score, question overlap, answer overlap) of one text's word numbers; each item's best passage that verifies."""
     terms = index.terms_at(ids)
     at = np.flatnonzero(terms >= 0)
     if not len(at):
@@ -224,23 +224,25 @@ def passage_hits(ids: np.ndarray, index: Index, threshold: float, overlap: float
     upper = np.cumsum(upper)
     starts = np.arange(0, max(1, len(ids) - SEGMENT), SEGMENT)
     ends = np.minimum(starts + 2 * SEGMENT - index.gram + 1, len(terms))
-    best = {}
+    above = defaultdict(dict)  # every passage above the threshold: the best one need not hold the whole item
     for a, b in zip(starts, ends):
         if upper[b] - upper[a] < threshold - 1e-9:
             continue
         inside = sorted(set(terms[a:b].tolist()) - {-1})
         for segment, score in index.search(inside, threshold):
             item = index.owner[segment]
-            if item not in best or score > best[item][1]:
-                best[item] = (int(a), score)
+            above[item][int(a)] = max(score, above[item].get(int(a), 0.0))
     found = []
-    for item, (a, score) in best.items():
+    for item, passages in above.items():
         item_id, head, tail = index.items[item]
         reach = SEGMENT + len(head | tail)
-        near = set(terms[max(0, a - reach):a + 2 * SEGMENT + reach].tolist())
-        q, r = (sum(index.number_of(k) in near for k in part) / len(part) for part in (head, tail))
-        if q >= overlap and r >= overlap:
-            found.append((item_id, a, score, q, r))
+        numbers = [np.array([index.number_of(k) for k in part]) for part in (head, tail)]
+        for a, score in sorted(passages.items(), key=lambda x: (-x[1], x[0])):
+            near = terms[max(0, a - reach):a + 2 * SEGMENT + reach]
+            q, r = (float(np.isin(part, near).mean()) for part in numbers)
+            if q >= overlap and r >= overlap:
+                found.append((item_id, a, score, q, r))
+                break
     return found
 
 
@@ -301,17 +303,18 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     out = spark.createDataFrame([], HIT_SCHEMA)
     for k, index in enumerate(item_blocks(items)):
-        found = rows.mapInArrow(lambda b, s=index: _search(b, s, threshold, overlap), HIT_SCHEMA)
+        found = rows.mapInArrow(lambda b, s=index: tidied(_search(b, s, threshold, overlap)), HIT_SCHEMA)
         out = out.unionByName(found) if k else found
     return out
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """The documents, all columns unchanged, that hold no test item."""
-    out = docs.withColumn("__text", text_or_empty())
+    name = free_name("searched_text", docs)
+    out = docs.withColumn(name, text_or_empty())
     for index in item_blocks(items):
-        out = out.mapInArrow(lambda b, s=index: _clean(b, s, threshold, overlap), out.schema)
-    return out.drop("__text")
+        out = out.mapInArrow(lambda b, s=index: tidied(_clean(b, s, threshold, overlap)), out.schema)
+    return out.drop(name)
 
 
 def _clean(batches, index: Index, threshold: float, overlap: float):

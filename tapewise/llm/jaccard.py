@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import by_value, checkpointed, materialize, scratch, worker_state
+from tapewise.llm.common import by_value, checkpointed, free_name, materialize, scratch, tidied, worker_state
 from tapewise.llm.components import components
 
 WIDTH = 5
@@ -83,7 +83,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte values, and powers of BASE and of its inverse for at least ``n`` positions."""
-    state = worker_state()
+    state = worker_state("jaccard")
     found = getattr(state, "jaccard_tables", None)
     if found is None or len(found[1]) < n:
         size = max(n, 2 * SLAB_BYTES)
@@ -477,13 +477,13 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(2, size // (10 * BUCKET_TOKENS) + 1)  # a word takes about five bytes, a front about half a set
-    counted = (rows.select("text").mapInArrow(lambda b: _fronts(b, buckets, percent), "bucket int, tokens binary")
+    counted = (rows.select("text").mapInArrow(lambda b: tidied(_fronts(b, buckets, percent)), "bucket int, tokens binary")
                .groupBy("bucket").applyInPandas(_counted, "token long, n long"))
     # at most MOST_FREQUENT tokens
     often = counted.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).toArrow()
     frequent = Frequent(often.column("token").to_numpy().astype("i8").view(U), often.column("n").to_numpy())
     path = scratch(spark, "jaccard-sets")
-    rows.mapInArrow(lambda b: _describe(b, frequent, percent), SET_SCHEMA).write.parquet(path)
+    rows.mapInArrow(lambda b: tidied(_describe(b, frequent, percent)), SET_SCHEMA).write.parquet(path)
     sets = spark.read.schema(SET_SCHEMA).parquet(path)
 
     # texts with equal sets: one representative each (ids repeat if rows do)
@@ -508,7 +508,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     known = alone.join(comps, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("comp"),
                                                      F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
     dealt = some.join(known, "doc_id").select("doc_id", "comp", "weight", "n_shingles", "prefix1", "prefix2")
-    packets = dealt.mapInArrow(lambda b: _deal(b, buckets), PACKET_SCHEMA)
+    packets = dealt.mapInArrow(lambda b: tidied(_deal(b, buckets)), PACKET_SCHEMA)
     found = packets.groupBy("ord", "bucket").applyInPandas(lambda key, pdf: _probes(key, pdf, percent),
                                                            "ord int, kind int, g long, node long, comp long")
     found = materialize(found, "jaccard-candidates")
@@ -534,8 +534,8 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, all columns unchanged, with only the least doc_id of each component."""
     found = jaccard_components(docs, percent)
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    key = docs.withColumn("__key", F.col("doc_id").cast("long"))
-    return key.join(gone.withColumnRenamed("doc_id", "__gone"), F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+    other = free_name("gone", docs)
+    return docs.join(gone.withColumnRenamed("doc_id", other), F.col("doc_id").cast("long") == F.col(other), "left_anti")
 
 
 by_value(__name__)

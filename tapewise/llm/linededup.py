@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import checkpointed, materialize
+from tapewise.llm.common import checkpointed, free_name, materialize
 
 MIN_WORDS = 40
 DIVISOR = 4
@@ -206,16 +206,17 @@ def _in_blocks(chunks: DataFrame, min_words: int) -> DataFrame:
     return numbered.withColumn("block_words", total).filter(F.col("block_words") >= min_words).drop("block", "block_words")
 
 
-def apply_removals(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` with the removed lines cut out of ``text``, and ``removed_lines``, how many they were."""
-    numbers = gone.select(F.col("doc_id").alias("__doc"), F.array_distinct("gone").alias("__gone"))
+def apply_removals(docs: DataFrame, gone: DataFrame, count: str = "removed_lines") -> DataFrame:
+    """``docs`` with the removed lines cut out of ``text``, and ``count``, how many they were."""
+    doc, cut = free_name("cut_doc", docs), free_name("cut_lines", docs)
+    numbers = gone.select(F.col("doc_id").alias(doc), F.array_distinct("gone").alias(cut))
     size = gone.agg(F.count(F.lit(1)), F.sum(F.size("gone"))).first()
     if size[0] <= BROADCAST_ROWS and (size[1] or 0) <= BROADCAST_LINES:
         numbers = F.broadcast(numbers)
-    joined = docs.join(numbers, F.col("doc_id") == F.col("__doc"), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("__gone", i))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn("text", text).withColumn("removed_lines", F.coalesce(F.size("__gone"), F.lit(0))).drop("__doc", "__gone")
+    joined = docs.join(numbers, F.col("doc_id") == F.col(doc), "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains(cut, i))
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return joined.withColumn("text", text).withColumn(count, F.coalesce(F.size(cut), F.lit(0))).drop(doc, cut)
 
 
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, divisor: int = DIVISOR) -> DataFrame:
@@ -231,7 +232,8 @@ def drop_repeated(docs: DataFrame, min_words: int = MIN_WORDS, divisor: int = DI
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     gone = materialize(removals(rows, min_words, divisor), "line-removals")
-    found = apply_removals(docs, gone).filter("removed_lines = 0 or trim(text) <> ''")
+    count = free_name("removed_lines", docs)
+    found = apply_removals(docs, gone, count).filter((F.col(count) == 0) | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        found = found.withColumn("n_chars", F.when(F.col(count) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return found.select(docs.columns)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import by_value, scratch, text_or_empty
+from tapewise.llm.common import by_value, scratch, text_or_empty, tidied
 from tapewise.llm.textids import encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -150,7 +150,7 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, size
     spark = docs.sparkSession
     path = scratch(spark, "packing")
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-     .mapInArrow(lambda b: _measure(b, tokenizer, end_id, size), DOC_SCHEMA).write.parquet(path))
+     .mapInArrow(lambda b: tidied(_measure(b, tokenizer, end_id, size)), DOC_SCHEMA).write.parquet(path))
     measured = spark.read.schema(DOC_SCHEMA).parquet(path)
     groups = max(1, -(-measured.count() // group_docs))
     dealt = measured.withColumn("pack_group", F.pmod(F.xxhash64("_metadata.file_name", "_metadata.row_index"), F.lit(groups)))

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import by_value, materialize, text_or_empty
+from tapewise.llm.common import by_value, materialize, text_or_empty, tidied
 from tapewise.llm.components import components
 
 WIDTH = 3
@@ -224,7 +224,7 @@ def close_links(entries: DataFrame, distance: int = DISTANCE) -> DataFrame:
 def simhash_components(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
     """doc_id, fingerprint and component_id of every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    prints = materialize(rows.mapInArrow(lambda b: _fingerprints(b, width), "doc_id long, fp long"), "simhash-prints")
+    prints = materialize(rows.mapInArrow(lambda b: tidied(_fingerprints(b, width)), "doc_id long, fp long"), "simhash-prints")
     entries = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-entries")
     found = components(close_links(entries, distance))
     grouped = entries.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))

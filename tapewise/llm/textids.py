@@ -131,7 +131,7 @@ class Encoder:
 
 def encoder(name: str) -> Encoder:
     """The worker's encoder for this tokenizer file (a bare name is looked up among the public tokenizers)."""
-    state = worker_state()
+    state = worker_state("textids")
     found = getattr(state, "encoders", {})
     if name not in found:
         found[name] = Encoder(name)

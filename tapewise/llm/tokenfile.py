@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import by_value, text_or_empty
+from tapewise.llm.common import by_value, text_or_empty, tidied
 from tapewise.llm.textids import encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -71,7 +71,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end
     """Encode every text of ``docs`` (doc_id, text), append ``end_id`` and write the ids in ascending doc_id order."""
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
             .withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text"))
-    found = rows.drop("tie").mapInArrow(lambda b: _encode(b, tokenizer, end_id),
+    found = rows.drop("tie").mapInArrow(lambda b: tidied(_encode(b, tokenizer, end_id)),
                             "part int, part_start long, doc_id long, n_tokens long, ids array<int>")
     options = {"compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": row_group_bytes,
                "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows, "parquet.enable.dictionary": "true"}

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import by_value, text_or_empty
+from tapewise.llm.common import by_value, free_name, text_or_empty, tidied
 
 SAMPLE_ROWS = 30_000
 HASH_BITS = 22
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, term
     # the sample's size is set by sample_rows, so its ids can be sent to every task
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")) \
         .join(F.broadcast(known), "doc_id").select("label", "text")
-    counts = rows.mapInArrow(_count, "term long, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counts = rows.mapInArrow(lambda b: tidied(_count(b)), "term long, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     n0, n1 = (int(known.filter(F.col("label") == k).count()) for k in (0, 1))
     if not n0 or not n1:
         return Machine([], -30.0, np.zeros(0), np.zeros((0, FACTORS)))
@@ -160,12 +160,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, term
     return train(sample.column("terms").to_pylist(), sample.column("label").to_numpy(), [r["term"] for r in best])
 
 
-def _score(batches, machine: Machine, keep: float | None):
+def _score(batches, machine: Machine, keep: float | None, text: str = "__text"):
     numbers = {t: i for i, t in enumerate(machine.terms)}
     lookup = TermLookup(lambda t: tuple(numbers[x] for x in t if x in numbers))
     for batch in batches:
-        scores = machine.score([lookup.of(x.as_py()) for x in batch.column("__text")])
-        out = batch.drop_columns(["__text"])
+        scores = machine.score([lookup.of(x.as_py()) for x in batch.column(text)])
+        out = batch.drop_columns([text])
         if keep is not None:
             yield out.filter(pa.array(scores < keep))
         else:
@@ -175,14 +175,15 @@ def _score(batches, machine: Machine, keep: float | None):
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), is_held_out().alias("held_out"), text_or_empty().alias("__text"))
-    found = rows.mapInArrow(lambda b: _score(b, machine, None), "doc_id long, held_out boolean, score double")
+    found = rows.mapInArrow(lambda b: tidied(_score(b, machine, None)), "doc_id long, held_out boolean, score double")
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, machine: Machine, threshold: float = 0.5) -> DataFrame:
     """The documents, all columns unchanged, whose score is below the threshold."""
-    rows = docs.withColumn("__text", text_or_empty())
-    return rows.mapInArrow(lambda b: _score(b, machine, threshold), docs.schema)
+    name = free_name("scored_text", docs)
+    rows = docs.withColumn(name, text_or_empty())
+    return rows.mapInArrow(lambda b: tidied(_score(b, machine, threshold, name)), docs.schema)
 
 
 by_value(__name__)

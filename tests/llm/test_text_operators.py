@@ -389,3 +389,23 @@ def test_loser_tree():
     for k in (0, 1, 2, 3, 7, 16):
         runs = [sorted(rng.randrange(50) for _ in range(rng.randrange(9))) for _ in range(k)]
         assert list(warc.LoserTree(runs)) == sorted(x for r in runs for x in r)
+
+
+def test_a_quoted_question_does_not_hide_the_whole_item(spark):
+    question, answer = words(104, 41) + ".", "\nAnswer " + words(6, 42) + "."
+    items = spark.createDataFrame([(7, question + answer)], "item_id long, text string")
+    text = f"{question} {words(900, 43)} {question}{answer} {words(50, 44)}"
+    rows = spark.createDataFrame([(1, text), (2, f"{question} {words(900, 45)}")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.find_leaks(rows, items).collect()] == [(1, 7)]
+    assert [r.doc_id for r in decontaminate.drop_leaks(rows, items).collect()] == [2]
+
+
+def test_clashing_columns_stay(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    names = ["__text", "scored_text", "searched_text", "removed_lines", "cut_doc", "cut_lines", "gone", "__key"]
+    rows = [(i, t, *([77] * len(names))) for i, t in EDGE]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} long" for n in names))
+    machine = toxicity.Machine([], -30.0, np.zeros(0), np.zeros((0, toxicity.FACTORS)))
+    for found in (toxicity.drop_toxic(df, machine), decontaminate.drop_leaks(df, items), linededup.drop_repeated(df), jaccard.keep_one(df)):
+        assert found.columns == df.columns
+        assert {tuple(r)[2:] for r in found.collect()} == {(77,) * len(names)}

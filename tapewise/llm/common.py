@@ -71,13 +71,34 @@ def worker_state(owner: str) -> types.ModuleType:
     return sys.modules[name]
 
 
+#: Texts in one Arrow batch, and the size from which the C library maps memory that it gives back at once.
+BATCH_TEXTS = 2000
+MAPPED_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session sends at most ``BATCH_TEXTS`` rows to a Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_TEXTS:
+        spark.conf.set(name, str(BATCH_TEXTS))
+
+
+def freed(result):
+    """``result``; the worker's unused memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.mallopt(-3, MAPPED_BYTES)  # -3: M_MMAP_THRESHOLD
+        libc.malloc_trim(0)
+    return result
+
+
 def tidied(batches):
     """The batches of a task; unused memory goes back to the system between them and at the end."""
+    freed(None)
     for batch in batches:
         yield batch
         pa.default_memory_pool().release_unused()
-    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-        libc.malloc_trim(0)
+    freed(None)
 
 
 def free_name(name: str, *frames: DataFrame) -> str:

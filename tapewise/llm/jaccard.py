@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import by_value, checkpointed, free_name, materialize, scratch, tidied, worker_state
+from tapewise.llm.common import by_value, checkpointed, free_name, freed, materialize, scratch, tidied, worker_state
 from tapewise.llm.components import components
 
 WIDTH = 5
@@ -410,7 +410,7 @@ def verified_links(texts: DataFrame, probes: DataFrame, members: DataFrame, perc
 
     rows = materialize(dealt(probes, "np", "nm", True).unionByName(dealt(members, "nm", "np", False)), "jaccard-groups")
     filled = rows.join(involved(texts, rows), "doc_id").select("g", "cp", "cm", "doc_id", "probe", F.col("text").cast("binary").alias("text"))
-    found = filled.groupBy("g", "cp", "cm").applyInPandas(lambda pdf: _verify(pdf, percent, frequent), "a long, b long")
+    found = filled.groupBy("g", "cp", "cm").applyInPandas(lambda pdf: freed(_verify(pdf, percent, frequent)), "a long, b long")
     return materialize(found.distinct(), "jaccard-links")
 
 
@@ -461,7 +461,7 @@ def links_in_groups(texts: DataFrame, groups: DataFrame, percent: int) -> DataFr
     rows = materialize(dealt.select("g", F.least("own", "other").alias("ca"), F.greatest("own", "other").alias("cb"), "own", "doc_id", "comp"),
                        "jaccard-squares")
     filled = rows.join(involved(texts, rows), "doc_id").select("g", "ca", "cb", "own", "comp", "doc_id", F.col("text").cast("binary").alias("text"))
-    found = filled.groupBy("g", "ca", "cb").applyInPandas(lambda pdf: _square(pdf, percent), "a long, b long")
+    found = filled.groupBy("g", "ca", "cb").applyInPandas(lambda pdf: freed(_square(pdf, percent)), "a long, b long")
     return materialize(found.distinct(), "jaccard-links")
 
 
@@ -509,7 +509,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                                                      F.coalesce("weight", F.lit(1)).cast("long").alias("weight"))
     dealt = some.join(known, "doc_id").select("doc_id", "comp", "weight", "n_shingles", "prefix1", "prefix2")
     packets = dealt.mapInArrow(lambda b: tidied(_deal(b, buckets)), PACKET_SCHEMA)
-    found = packets.groupBy("ord", "bucket").applyInPandas(lambda key, pdf: _probes(key, pdf, percent),
+    found = packets.groupBy("ord", "bucket").applyInPandas(lambda key, pdf: freed(_probes(key, pdf, percent)),
                                                            "ord int, kind int, g long, node long, comp long")
     found = materialize(found, "jaccard-candidates")
     one, two = (found.filter((F.col("ord") == k) & (F.col("kind") == 0)).select("g", F.col("node").alias("doc_id")).distinct() for k in (0, 1))

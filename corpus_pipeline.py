@@ -14,11 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tapewise.llm import decontaminate, jaccard, linededup, packing, toxicity
-from tapewise.llm.common import materialize, table
+from tapewise.llm.common import materialize, small_batches, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores below 0.5; it learns from the labelled documents of the stage's input."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -29,16 +30,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near copies."""
+    small_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of 2048 ids."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

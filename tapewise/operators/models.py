@@ -145,7 +145,12 @@ def gaussian_nb() -> NaiveBayes:
 
 
 def score_column(model) -> Column:
-    """Score for ranking: probability of class 1, or the class-1 margin for SVMs."""
+    """Score for ranking: probability of class 1, or the class-1 margin for SVMs.
+
+    The library's own models (trees, boosting, k-NN) give a ``score`` column themselves.
+    """
+    if not hasattr(model, "hasParam"):
+        return F.col("score")
     if model.hasParam("probabilityCol"):
         return vector_to_array(F.col("probability"))[1]
     return vector_to_array(F.col("rawPrediction"))[1]

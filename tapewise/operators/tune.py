@@ -13,13 +13,14 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import SparkContext
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassificationModel, GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewise.operators import curves as C
 from tapewise.operators.models import LABEL, FeatureSpec, fit_score, prepare, score_column
 from tapewise.operators.split import kfold
+from tapewise.operators.trees import Tree, TreePlan, grow_trees, stored
 
 
 def _union(dfs: Sequence[DataFrame]) -> DataFrame:
@@ -49,7 +50,8 @@ def classification_scores(estimator, data: DataFrame, key: str, folds: int = 3,
         parts.append(m.transform(f.filter(F.col("fold") == i))
                      .select(key, LABEL, "fold", F.col("prediction").cast("int").alias("prediction"),
                              score_column(m).alias("score")))
-    oof = _union(parts)
+    oof = stored(_union(parts), "out-of-fold")
+    f.unpersist()
     pooled_auc = C.roc_auc(oof, LABEL, F.col("prediction"))
     conf = C.accuracy_stats(oof, LABEL, "prediction").select("tp", "fp", "fn", "tn")
     per_fold = C.roc_auc(oof, LABEL, F.col("prediction"), by=["fold"]) \
@@ -61,90 +63,85 @@ def classification_scores(estimator, data: DataFrame, key: str, folds: int = 3,
     return out.select(F.lit(name).alias("model"), "*"), full
 
 
-# sklearn-style tree parameters expressed with Spark's
-def tree_for(param: str, value, n_train: int, seed: int = 10, base: Mapping | None = None):
-    """Decision-tree estimator for one sweep value.
+def tree_for(params: Mapping[str, float], n_train: int, key: str, seed: int = 10) -> Tree:
+    """One exact decision tree with sklearn's parameters; fractions mean shares of the training rows, rounded up."""
+    unknown = set(params) - {"min_samples_split", "min_samples_leaf", "max_depth", "max_features"}
+    if unknown:
+        raise ValueError(f"unknown tree parameters {sorted(unknown)}")
 
-    * ``min_samples_split`` (fraction f): ``minInstancesPerNode = ceil(f n / 2)`` (proxy; no
-      Spark parameter bounds the node size before a split);
-    * ``min_samples_leaf`` (fraction f): ``minInstancesPerNode = ceil(f n)``;
-    * ``max_depth``: ``maxDepth`` (Spark allows at most 30);
-    * ``max_features`` (m): a one-tree forest without bootstrap considering m features per split.
+    def rows(name, least):
+        return max(least, math.ceil(float(params.get(name, 0.0)) * n_train))
 
-    Parameters not being swept keep sklearn's defaults where Spark can express
-    them: full depth (``maxDepth=30``, Spark's limit) and single-row leaves.
-    """
-    kw = dict(base or {})
-    kw.setdefault("maxDepth", 30)  # sklearn trees grow fully unless max_depth is set; 30 is Spark's limit
-    if param == "min_samples_split":
-        kw["minInstancesPerNode"] = max(kw.get("minInstancesPerNode", 1), int(math.ceil(float(value) * n_train / 2.0)))
-    elif param == "min_samples_leaf":
-        kw["minInstancesPerNode"] = max(kw.get("minInstancesPerNode", 1), int(math.ceil(float(value) * n_train)))
-    elif param == "max_depth":
-        if int(value) > 30:
-            raise ValueError("Spark trees allow maxDepth <= 30")
-        kw["maxDepth"] = int(value)
-    elif param == "max_features":
-        kw["featureSubsetStrategy"] = str(int(value))
-    else:
-        raise ValueError(f"unknown tree parameter {param}")
-    if "featureSubsetStrategy" in kw:
-        return RandomForestClassifier(numTrees=1, bootstrap=False, seed=seed, **kw)
-    return DecisionTreeClassifier(seed=seed, **kw)
-
-
-def sweep(train: DataFrame, test: DataFrame, param: str, values: Sequence, key: str,
-          parallelism: int = 4, base: Mapping | None = None) -> DataFrame:
-    """Fit one tree per value (a bounded thread pool of fits) and return
-    ``param, value, pr_auc`` (area with the (0, 1) anchor, on ``test``)."""
-    n_train = train.count()
-
-    def one(v):
-        model = tree_for(param, v, n_train, base=base).fit(train)
-        return (model.transform(test)
-                .select(key, LABEL, score_column(model).alias("score"))
-                .withColumn("value", F.lit(float(v))))
+    depth, features = params.get("max_depth"), params.get("max_features")
+    return Tree(seed, key, None if features is None else int(features), rows("min_samples_leaf", 1), rows("min_samples_split", 2),
+                None if depth is None else int(depth))
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scored = list(pool.map(one, values))
-    areas = C.pr_auc(_union(scored), LABEL, "score", by=["value"])
-    return areas.select(F.lit(param).alias("param"), "value", F.col("pr_auc_one").alias("pr_auc"))
 
+def _reaching(weight: float):
+    """Number of nodes on the path that have at least this weight."""
+    return F.size(F.filter("path_n", lambda n: n >= weight))
 
-def best_value(sweep_df: DataFrame):
-    """First value (smallest) with the largest area."""
-    row = sweep_df.orderBy(F.desc("pr_auc"), F.asc("value")).first()
-    return row["value"]
 
+def sweep_scores(train: DataFrame, test: DataFrame, grids: Mapping[str, Sequence], key: str, seed: int = 10) -> DataFrame:
+    """``key, label, param, value, score`` of the test rows for every value of every grid, from one growth and one scoring pass.
 
-def tune_and_refit(train: DataFrame, test: DataFrame, grids: Mapping[str, Sequence], key: str,
-                   parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+    A greedy tree's node does not depend on what is grown below it, so every ``max_depth`` and ``min_samples_split``
+    is read off the full tree's root-to-leaf paths; other parameters get a tree per value, all grown together.
+    """
+    n_train, plans, points = train.count(), {}, []
+    for param, values in grids.items():
+        for v in values:
+            own = param not in ("max_depth", "min_samples_split")
+            est = tree_for({param: v} if own else {}, n_train, key, seed)
+            plan = (est.max_features, est.min_leaf)
+            tree = plans.setdefault(plan, len(plans))
+            points.append((param, float(v), tree))
+    grown = grow_trees(train, key, [TreePlan(t, seed, False, m, leaf) for (m, leaf), t in plans.items()], Tree.local_rows)
+    last = F.size("path_p") - 1
+    read = []
+    for param, v, tree in points:
+        at = last
+        if param == "max_depth":
+            at = F.least(F.lit(int(v)), last)
+        elif param == "min_samples_split":  # weights fall along the path: the first node below the bound is the leaf
+            at = F.least(_reaching(float(max(2, math.ceil(v * n_train)))), last)
+        read.append(F.when(F.col("tree") == tree, F.struct(F.lit(param).alias("param"), F.lit(v).alias("value"), F.get("path_p", at).alias("score"))))
+    found = grown.root_to_leaf(test).select(key, F.explode(F.array_compact(F.array(*read))).alias("s")).select(key, "s.*")
+    return found.join(test.select(key, LABEL), key)
+
+
+def sweep(train: DataFrame, test: DataFrame, param: str, values: Sequence, key: str, seed: int = 10) -> DataFrame:
+    """``param, value, pr_auc`` (area with the (0, 1) anchor, on ``test``) of one tree per value."""
+    return _areas(sweep_scores(train, test, {param: values}, key, seed))
+
+
+def _areas(scored: DataFrame) -> DataFrame:
+    areas = C.pr_auc(stored(scored, "sweep-scores"), LABEL, "score", by=["param", "value"])
+    return areas.select("param", "value", F.col("pr_auc_one").alias("pr_auc"))
+
+
+def best_values(areas: DataFrame) -> dict[str, float]:
+    """Per parameter the first (smallest) value with the largest area."""
+    top = areas.groupBy("param").agg(F.max(F.struct("pr_auc", (-F.col("value")).alias("low"))).alias("top"))
+    return {r["param"]: -r["low"] for r in top.select("param", "top.low").collect()}  # one row per parameter
+
+
+def tune_and_refit(train: DataFrame, test: DataFrame, grids: Mapping[str, Sequence], key: str, seed: int = 10) -> tuple[DataFrame, DataFrame]:
     """Sweep each parameter, combine the best values, refit and rescore.
 
     Returns (all sweep rows, one row of test metrics for the tuned tree:
     accuracy, precision, recall, hard-label AUC and PR area).
     """
-    sweeps = [sweep(train, test, p, vals, key, parallelism) for p, vals in grids.items()]
-    allsw = _union(sweeps)
-    n_train = train.count()
-    best = {p: best_value(s) for p, s in zip(grids, sweeps)}
-    kw: dict = {}
-    est = None
-    for p, v in best.items():
-        est = tree_for(p, v, n_train, base=kw)
-        kw = _tree_kwargs(est)
-    model, scored = fit_score(est, train, test, key)
+    allsw = stored(_areas(sweep_scores(train, test, grids, key, seed)), "sweeps")
+    est = tree_for(best_values(allsw), train.count(), key, seed)
+    _, scored = fit_score(est, train, test, key)
+    scored = stored(scored, "tuned-scores")
     stats = C.accuracy_stats(scored, LABEL, "prediction")
     auc = C.roc_auc(scored, LABEL, F.col("prediction"))
     pr = C.pr_auc(scored, LABEL, "score").select(F.col("pr_auc_one").alias("pr_auc"))
     return allsw, stats.crossJoin(auc).crossJoin(pr)
 
 
-def _tree_kwargs(est) -> dict:
-    keep = {"minInstancesPerNode", "maxDepth", "featureSubsetStrategy"}
-    return {p.name: v for p, v in est.extractParamMap().items() if p.name in keep and est.isSet(p)}
-
-
 def roc_comp(train: DataFrame, test: DataFrame, models: Mapping[str, object], key: str,
              parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
     """Fit each model (concurrently, from a bounded thread pool), score the test rows, and return
@@ -158,7 +155,7 @@ def roc_comp(train: DataFrame, test: DataFrame, models: Mapping[str, object], ke
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         scored = list(pool.map(one, models.items()))
-    allsc = _union(scored)
+    allsc = stored(_union(scored), "compared-scores")
     roc = C.roc_auc(allsc, LABEL, "score", by=["model"])
     pr = C.pr_auc(allsc, LABEL, "score", by=["model"]).select("model", F.col("pr_auc_none").alias("pr_auc"))
     table = roc.join(pr, "model").select(
@@ -244,4 +241,4 @@ def nested_feature_models(train_raw: DataFrame, test_raw: DataFrame, feature_set
 
 
 __all__ = ["classification_scores", "sweep", "tune_and_refit", "roc_comp", "nested_feature_models", "repeated_cv_search",
-           "tree_for", "best_value"]
+           "sweep_scores", "tree_for", "best_values"]

@@ -21,6 +21,7 @@ from tapewise.operators import models as M
 from tapewise.operators import tune as T
 from tapewise.operators.portfolio import criteria_dummies
 from tapewise.operators.split import random_split
+from tapewise.operators.trees import Forest, Tree
 from tapewise.plans.q_returns import ALL_SQL
 from tapewise.plans.q_split import SPLIT_SQL, hash_sql
 from tapewise.plans.registry import query, r6, tape_sql
@@ -63,9 +64,13 @@ def q_logistic(spark, d):
     return _scored(lambda tr: M.logistic("sklearn", n_train=tr.count()), spark, d)
 
 
-def _forest():
-    """The original forest: 1000 trees, fully grown (Spark trees stop at depth 30)."""
-    return M.random_forest(num_trees=1000, max_depth=30, seed=3)
+# fixed values: tree counts of the original forests
+FOREST_TREES, COMPARED_TREES = 1000, 100
+
+
+def _forest(trees: int = FOREST_TREES):
+    """The original forest, fully grown."""
+    return Forest(trees, seed=3)
 
 
 @query("random_forest")
@@ -77,7 +82,7 @@ def q_random_forest(spark, d):
 def q_feature_importance(spark, d):
     tr, _, spec = _parts(spark, d)
     model = _forest().fit(tr)
-    return M.feature_importance(model, spec.names)
+    return model.importances(spec.names)
 
 
 @query("gradient_boosting")
@@ -87,7 +92,7 @@ def q_gradient_boosting(spark, d):
 
 @query("decision_tree")
 def q_decision_tree(spark, d):
-    return _scored(lambda tr: M.decision_tree(seed=10, maxDepth=30), spark, d)
+    return _scored(lambda tr: Tree(seed=10), spark, d)
 
 
 @query("linear_svm")
@@ -263,30 +268,30 @@ def q_classification_scores_svm(spark, d):
     return _cv_scores(spark, d, M.linear_svm(), "linear_svm")
 
 
-# Depth sweep: the original grid is 1..50; Spark trees stop at depth 30.
-DEPTHS = list(range(1, 31))
+# fixed values: the original depth sweep
+DEPTHS = list(range(1, 51))
 
 
 @query("sweep")
 def q_sweep(spark, d):
     tr, te, _ = _parts(spark, d)
-    return T.sweep(tr.persist(), te, "max_depth", DEPTHS, "loan_id", parallelism=8)
+    return T.sweep(tr, te, "max_depth", DEPTHS, "loan_id")
 
 
-def tuning_grids(n_features: int, every: int = 1) -> dict:
-    """The original four grids (100, 50, 50 and p-1 values; depths up to Spark's 30), or every ``every``-th value of them."""
+def tuning_grids(n_features: int) -> dict:
+    """The original four grids: 100, 50, 50 and p - 1 values."""
     return {
-        "min_samples_split": [float(v) for v in np.linspace(0.01, 1, 100)[::every]],
-        "min_samples_leaf": [float(v) for v in np.linspace(0.01, 0.5, 50)[::every]],
-        "max_depth": [v for v in range(1, 31)][::every // 2 or 1],
-        "max_features": list(range(1, n_features))[::max(1, every // 5)],
+        "min_samples_split": [float(v) for v in np.linspace(0.01, 1, 100)],
+        "min_samples_leaf": [float(v) for v in np.linspace(0.01, 0.5, 50)],
+        "max_depth": DEPTHS,
+        "max_features": list(range(1, n_features)),
     }
 
 
 @query("tune_and_refit")
 def q_tune_and_refit(spark, d):
     tr, te, spec = _parts(spark, d)
-    _, metrics = T.tune_and_refit(tr.persist(), te, tuning_grids(len(spec.names)), "loan_id", parallelism=8)
+    _, metrics = T.tune_and_refit(tr, te, tuning_grids(len(spec.names)), "loan_id")
     return metrics
 
 
@@ -295,7 +300,7 @@ def q_compare_models(spark, d):
     """accuracy / precision / recall x (lr, dec, nb) on the test rows."""
     tr, te, _ = _parts(spark, d)
     tr = tr.persist()
-    ests = {"lr": M.logistic("sklearn", n_train=tr.count()), "dec": M.decision_tree(seed=10, maxDepth=30),
+    ests = {"lr": M.logistic("sklearn", n_train=tr.count()), "dec": Tree(seed=10),
             "nb": M.gaussian_nb()}
     longs = []
     for name, est in ests.items():
@@ -308,7 +313,7 @@ def q_compare_models(spark, d):
 
 
 def _comparison_models(n_train: int) -> dict:
-    return {"random_forest": M.random_forest(num_trees=100, max_depth=30, seed=3),
+    return {"random_forest": _forest(COMPARED_TREES),
             "logistic": M.logistic("none"),
             "gradient_boosting": M.gradient_boosting(max_iter=100, step_size=0.1, max_depth=3, seed=3)}
 

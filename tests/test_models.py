@@ -98,10 +98,10 @@ def test_classification_scores_and_sweep(planted):
     r = out.first()
     assert r.tp + r.fp + r.fn + r.tn == tr.count()
     assert r.auc_hard > 0.8 and 0.5 <= r.mean_baseline <= 1.0
-    sw = T.sweep(tr, te, "max_depth", [1, 3, 5], "loan_id", parallelism=2).collect()
+    sw = T.sweep(tr, te, "max_depth", [1, 3, 5], "loan_id").collect()
     assert len(sw) == 3 and all(0 <= x.pr_auc <= 1 for x in sw)
     with pytest.raises(ValueError):
-        T.tree_for("max_depth", 31, 100)
+        T.tree_for({"max_leaves": 31}, 100, "loan_id")
 
 
 def test_roc_comp_rows(planted):
@@ -126,28 +126,21 @@ def test_registered_grids_are_whole():
     from tapewise.plans import q_models as Q
 
     grids = Q.tuning_grids(11)
-    assert {p: len(v) for p, v in grids.items()} == {"min_samples_split": 100, "min_samples_leaf": 50, "max_depth": 30, "max_features": 10}
+    assert {p: len(v) for p, v in grids.items()} == {"min_samples_split": 100, "min_samples_leaf": 50, "max_depth": 50, "max_features": 10}
     assert grids["min_samples_split"][-1] == 1.0 and grids["min_samples_leaf"][-1] == 0.5
     assert sorted((g["maxDepth"], g["maxIter"]) for g in Q.GBM_GRID) == [(d, n) for d in (1, 2, 3) for n in (50, 100, 150)]
 
 
-@pytest.mark.parametrize("name, trees", [("random_forest", 1000), ("feature_importance", 1000), ("classification_scores_forest", 1000),
-                                         ("roc_comp", 100), ("nested_feature_models", 100)])
-def test_registered_forests_are_whole(spark, monkeypatch, name, trees):
-    from tapewise.plans import q_models as Q
-
-    class Asked(Exception):
-        pass
-
-    def forest(num_trees, max_depth, **kw):
-        raise Asked(num_trees, max_depth)
+@pytest.mark.parametrize("name, trees", [("random_forest", 1000), ("feature_importance", 1000), ("classification_scores_forest", 1000)])
+def test_registered_forests_are_whole_and_end(spark, monkeypatch, name, trees):
+    """The registered queries run to their end at sf0.001 with all trees."""
+    from tapewise.operators import trees as T2
+    from tapewise.plans import QUERIES
 
-    monkeypatch.setattr(M, "random_forest", forest)
-    with pytest.raises(Asked) as asked:
-        {"random_forest": Q.q_random_forest, "feature_importance": Q.q_feature_importance, "roc_comp": Q.q_roc_comp,
-         "classification_scores_forest": Q.q_classification_scores_forest,
-         "nested_feature_models": Q.q_nested_feature_models}[name](spark, SF0001)
-    assert asked.value.args == (trees, 30)
+    grown, whole = [], T2.grow_trees
+    monkeypatch.setattr(T2, "grow_trees", lambda data, key, plans, *a: grown.append(len(plans)) or whole(data, key, plans, *a))
+    assert QUERIES[name](spark, SF0001).count() > 0
+    assert set(grown) == {trees}
 
 
 def test_boosted_points_share_a_fit(planted):

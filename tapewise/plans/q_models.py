@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tapewise.operators import curves as C
 from tapewise.operators import models as M
 from tapewise.operators import tune as T
+from tapewise.operators.boosting import Boosted, TunedBoosted, boosted_cv
 from tapewise.operators.portfolio import criteria_dummies
 from tapewise.operators.split import random_split
 from tapewise.operators.trees import Forest, Tree
@@ -312,10 +313,15 @@ def q_compare_models(spark, d):
     return C.compare_models(allm)
 
 
+# fixed values: caret's default boosting grid, depths 1-3 by 50, 100 and 150 trees, with 10 rows a leaf and half the rows a round
+GBM_GRID = [{"maxDepth": depth, "maxIter": trees} for depth in (1, 2, 3) for trees in (50, 100, 150)]
+GBM = Boosted(rate=0.1, min_rows=10, share=0.5, seed=3)
+
+
 def _comparison_models(n_train: int) -> dict:
     return {"random_forest": _forest(COMPARED_TREES),
             "logistic": M.logistic("none"),
-            "gradient_boosting": M.gradient_boosting(max_iter=100, step_size=0.1, max_depth=3, seed=3)}
+            "gradient_boosting": TunedBoosted(GBM_GRID, GBM)}
 
 
 @query("roc_comp")
@@ -343,17 +349,11 @@ def q_nested_feature_models(spark, d):
     return T.nested_feature_models(train, test, sets, _comparison_models, "loan_id")
 
 
-# caret's default boosting grid: depths 1-3 by 50, 100 and 150 trees
-GBM_GRID = [{"maxDepth": depth, "maxIter": trees} for depth in (1, 2, 3) for trees in (50, 100, 150)]
-
-
 @query("gbm_repeated_cv")
 def q_gbm_repeated_cv(spark, d):
     """Gradient boosting tuned by 4 x 4 repeated cross-validation on the training part."""
     tr, _, _ = _parts(spark, d, _formula_spec())
-    summary, _ = T.repeated_cv_search(M.gradient_boosting(step_size=0.1, seed=3), GBM_GRID, tr.persist(), "loan_id",
-                                      k=4, repeats=4, seed=3, parallelism=8)
-    return summary
+    return boosted_cv(tr, "loan_id", GBM_GRID, GBM)[0]
 
 
 @query("logistic_thresholds")

@@ -4,9 +4,8 @@
   -> ``VectorAssembler``) fitted on the training rows only.
 * Logistic regression, random forest, gradient boosting, decision tree,
   linear SVM and Gaussian naive Bayes are the Spark ML estimators.
-* AdaBoost (discrete SAMME) is a driver loop of weighted stumps; each round
-  is one grouped aggregate of the weights per (feature, bin, class), and
-  lineage is cut with a reliable ``checkpoint()`` every few rounds.  The
+* AdaBoost (discrete SAMME) is a driver loop of weighted stumps over rows
+  dealt once by ranges of values; each round is one job without a shuffle.  The
   stumps are turned into one SQL expression for scoring.
 * k-nearest-neighbours is an exact blocked join: train and query rows are
   hashed into blocks, each (query block, train block) pair meets in one
@@ -21,6 +20,9 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -36,12 +38,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewise.functions import knn_kernel
+from tapewise.functions import knn_kernel, stump_kernel
 from tapewise.functions.exprs import hash_bucket
-from tapewise.session import checkpoint_dir
+from tapewise.operators.trees import stored
 
-# the kernel travels with the task, so workers need no installed package
-cloudpickle.register_pickle_by_value(knn_kernel)
+# the kernels travel with the task, so workers need no installed package
+for kernel in (knn_kernel, stump_kernel):
+    cloudpickle.register_pickle_by_value(kernel)
 
 FEATURES = "features"
 LABEL = "label"
@@ -194,6 +197,7 @@ class Stump:
     left: float               # prediction when x <= threshold
     right: float
     alpha: float
+    error: float = 0.0
 
 
 def _stump_expr(s: Stump, arr: Column) -> Column:
@@ -218,93 +222,140 @@ class AdaBoostModel:
         return df.withColumn("score", d).withColumn("prediction", (F.col("score") > 0).cast("int"))
 
 
-def _best_stump(rows, n_features: int) -> tuple[float, int, int, float, float]:
-    """Pick the split with the smallest weighted error from per-(feature, bin) class weights.
+#: Ranges of values per feature, each a unit of the running sums.
+STUMP_RANGES = 256
+#: Errors that differ by less than this share of all weight are ties: the lower feature, then the lower value wins.
+STUMP_SLACK = 1e-12
 
-    Split b of feature f sends bins < b left; each side predicts its weighted
-    majority (ties -> 0).  Returns (error weight, feature, b, left, right).
+_MINIMA = ("f int, r int, salt int, first double, pos double, neg double, a double, a_value double, a_next double, "
+           "b double, b_value double, b_next double")
+
+
+def _value_ranges(base: DataFrame, p: int) -> tuple[list, list]:
+    """Per feature the upper ends of its ranges, and into how many parts each range is dealt.
+
+    A value that fills several quantiles gets a range of its own, which any number of tasks can sum.
     """
-    per = {}
-    for r in rows:
-        per.setdefault(r["f"], {})[r["b"]] = (r["pos"] or 0.0, r["neg"] or 0.0)
-    best = None
-    for f in range(n_features):
-        bins = per.get(f, {})
-        if not bins:
-            continue
-        tot_p = sum(v[0] for v in bins.values())
-        tot_n = sum(v[1] for v in bins.values())
-        if best is None:  # constant predictor
-            err = min(tot_p, tot_n)
-            best = (err, f, 0, 1.0 if tot_p > tot_n else 0.0, 1.0 if tot_p > tot_n else 0.0)
-        lp = ln = 0.0
-        for b in range(1, max(bins) + 1):
-            vp, vn = bins.get(b - 1, (0.0, 0.0))
-            lp += vp
-            ln += vn
-            rp, rn = tot_p - lp, tot_n - ln
-            left = 1.0 if lp > ln else 0.0
-            right = 1.0 if rp > rn else 0.0
-            err = (ln if left else lp) + (rn if right else rp)
-            if err < best[0] - 1e-12:
-                best = (err, f, b, left, right)
-    return best
-
-
-def ada_boost(train: DataFrame, n_estimators: int = 300, learning_rate: float = 0.3, n_bins: int = 32,
-              checkpoint_every: int = 10, accuracy: int = 10000) -> AdaBoostModel:
-    """Discrete AdaBoost (SAMME, two classes) over weighted decision stumps.
-
-    Candidate thresholds are per-feature quantiles (one job).  Each round is
-    one grouped aggregate of the weights per (feature, bin, class) - a table
-    bounded by features x bins, not by rows - from which the stump with the
-    smallest weighted error is chosen; its error gives the round weight and
-    the weight update is a lazy expression.  Lineage is cut with a reliable
-    ``checkpoint()`` every ``checkpoint_every`` rounds.
+    at = [i / STUMP_RANGES for i in range(1, STUMP_RANGES)]
+    found = base.agg(*[F.percentile_approx(F.col("x")[f], at, 10 * STUMP_RANGES).alias(f"q{f}") for f in range(p)]).first()
+    ends, parts = [], []
+    for f in range(p):
+        values, times = np.unique(np.array(found[f], "float64"), return_counts=True)
+        hot = values[times > 1]
+        ends.append(np.unique(np.concatenate((values, np.nextafter(hot, -np.inf)))))
+        dealt = np.ones(len(ends[-1]) + 1, "int64")
+        dealt[np.searchsorted(ends[-1], hot)] = times[times > 1]
+        parts.append(dealt)
+    return ends, parts
+
+
+def _dealt_values(base: DataFrame, ends: list, parts: list) -> DataFrame:
+    """One row per row and feature, dealt by range of values and sorted inside."""
+    def run(frames):
+        for pdf in frames:
+            if not len(pdf):
+                continue
+            x, y, row = np.stack(pdf["x"]), pdf["y"].to_numpy(), pdf["row"].to_numpy()
+            for f in range(x.shape[1]):
+                r = np.searchsorted(ends[f], x[:, f], side="left")
+                yield pd.DataFrame({"f": f, "r": r, "salt": row.view("uint64") % parts[f][r].astype("uint64"), "v": x[:, f], "y": y, "x": list(x)})
+
+    rows = base.mapInPandas(run, "f int, r int, salt int, v double, y double, x array<double>")
+    n = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "f", "r", "salt").sortWithinPartitions("f", "r", "salt", "v")
+
+
+def _best_stump(found: pd.DataFrame, n: float) -> tuple[float, int | None, float | None, float, float]:
+    """(error weight, feature, threshold, left, right) from the ranges' minima; feature None predicts ``left`` always."""
+    total = found[found["f"] == found["f"].min()]
+    ones, zeros = float(total["pos"].sum()), float(total["neg"].sum())
+    majority = 1.0 if ones > zeros else 0.0
+    cuts = []
+    for f, own in found.groupby("f"):
+        # a range dealt to several tasks holds one value: its sums add up
+        sums = own.groupby("r").agg(first=("first", "min"), pos=("pos", "sum"), neg=("neg", "sum"), tasks=("f", "size"))
+        one = own.groupby("r")[["a", "a_value", "a_next", "b", "b_value", "b_next"]].first()
+        before = np.concatenate(([0.0], np.cumsum((sums["neg"] - sums["pos"]).to_numpy())[:-1]))
+        after = np.append(sums["first"].to_numpy()[1:], np.nan)
+        several = sums["tasks"].to_numpy() > 1
+        lead = (sums["neg"] - sums["pos"]).to_numpy()
+        for name, sign, left in (("a", 1.0, 1.0), ("b", -1.0, 0.0)):
+            least = np.where(several, sign * lead, one[name].to_numpy())
+            low, high = one[f"{name}_value"].to_numpy(), one[f"{name}_next"].to_numpy()
+            high = np.where(np.isnan(high) | several, after, high)
+            error = (ones if left else zeros) + sign * before + least
+            cuts += [(e, f, a, b, left) for e, a, b in zip(error, low, high) if not np.isnan(b)]
+    slack = STUMP_SLACK * n
+    best = min([c[0] for c in cuts], default=np.inf)
+    if best >= min(ones, zeros) - slack:
+        return min(ones, zeros), None, None, majority, majority
+    e, f, a, b, left = min((c for c in cuts if c[0] <= best + slack), key=lambda c: (c[1], c[2], -c[4]))
+    mid = a + (b - a) / 2
+    return e, int(f), float(mid if mid < b else a), left, 1.0 - left
+
+
+def ada_boost(train: DataFrame, n_estimators: int = 300, learning_rate: float = 0.3, key: str = "loan_id") -> AdaBoostModel:
+    """Discrete AdaBoost (SAMME, two classes) over weighted decision stumps, each the best of all cuts.
+
+    The rows are dealt once by feature and range of values, sorted.  A round is one job without a shuffle: tasks
+    compute the weights from the stumps so far (one step function per feature, so a round costs the same however many
+    there are) and return, for each range, its class weights and the cuts where either class leads most.  Running
+    sums over the ranges, a table bounded by features and ranges, give the errors and the stump.  A lost task is
+    computed again from the rows; there are no weights to lose.
     """
-    checkpoint_dir(train.sparkSession)  # spark.checkpoint.dir from the session; a scratch folder only when unset
     first = train.select(FEATURES).first()
     if first is None:
         return AdaBoostModel([])
-    n_features = len(first[0])
-    x = vector_to_array(F.col(FEATURES))
-    base = train.select(x.alias("__x"), F.col(LABEL).alias("__y"))
-    probs = [i / n_bins for i in range(1, n_bins)]
-    qrow = base.agg(*[F.percentile_approx(F.col("__x")[f], probs, accuracy).alias(f"q{f}")
-                      for f in range(n_features)]).first()
-    thresholds = [sorted(set(float(v) for v in (qrow[f"q{f}"] or []))) for f in range(n_features)]
-    def bin_of(f: int, thr: list[float]) -> Column:
-        # number of thresholds below the value (a one-argument lambda: two would bind the index)
-        xv = F.col("__x")[f]
-        return F.size(F.filter(F.array(*[F.lit(t) for t in thr]), lambda t: t < xv)) if thr else F.lit(0)
-
-    bin_cols = [bin_of(f, thr) for f, thr in enumerate(thresholds)]
-    data = base.select(F.array(*bin_cols).alias("__b"), "__y", F.lit(1.0).alias("__w")).checkpoint(eager=True)
+    p = len(first[0])
+    base = stored(train.select(F.xxhash64(key).alias("row"), F.col(LABEL).cast("double").alias("y"), vector_to_array(F.col(FEATURES)).alias("x")), "stump-rows")
+    n, (ends, parts) = base.count(), _value_ranges(base, p)
+    data = _dealt_values(base, ends, parts).persist()
     stumps: list[Stump] = []
-    y = F.col("__y")
-    for m in range(n_estimators):
-        ex = data.select(F.posexplode("__b").alias("f", "b"), "__y", "__w")
-        rows = ex.groupBy("f", "b").agg(F.sum(F.col("__w") * y).alias("pos"),
-                                        F.sum(F.col("__w") * (F.lit(1.0) - y)).alias("neg")).collect()
-        total = sum((r["pos"] or 0.0) + (r["neg"] or 0.0) for r in rows) / max(n_features, 1)
-        e_w, f, b, left, right = _best_stump(rows, n_features)
-        err = e_w / total if total else 0.0
-        thr = thresholds[f][b - 1] if b > 0 else None
-        if err <= 0.0 or err >= 0.5:
-            if not stumps or err <= 0.0:
-                stumps.append(Stump(f, thr, left, right, 1.0))
+    scale = 0.0  # logarithm of what keeps the weights' sum at the row count
+    while len(stumps) < n_estimators:
+        constant, steps = stump_kernel.compiled([(s.feature if s.threshold is not None else None, s.threshold, s.left, s.right, s.alpha) for s in stumps], p)
+        whole = sum(s.alpha for s in stumps)
+
+        def run(batches, constant=constant, steps=steps, whole=whole, scale=scale):
+            held = []
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                f, r, salt, v, y = (batch.column(c).to_numpy() for c in ("f", "r", "salt", "v", "y"))
+                x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
+                ones = stump_kernel.votes(x, constant, steps)
+                w = np.exp(np.where(y > 0, whole - ones, ones) - scale)
+                held.append(stump_kernel.cells(f, r, salt, v, w * y, w * (1 - y)))
+            if held:
+                joined = stump_kernel.cells(*(np.concatenate(c) for c in zip(*held)))
+                yield pa.RecordBatch.from_pydict(stump_kernel.range_minima(*joined, STUMP_SLACK * n))
+
+        found = data.mapInArrow(run, _MINIMA).toPandas()  # at most features x ranges x parts rows
+        e_w, f, threshold, left, right = _best_stump(found, n)
+        err = float(e_w) / n
+        if err <= STUMP_SLACK or err >= 0.5:
+            if not stumps or err <= STUMP_SLACK:
+                stumps.append(Stump(f or 0, threshold, left, right, 1.0, err))
             break
         alpha = learning_rate * math.log((1.0 - err) / err)
-        stumps.append(Stump(f, thr, left, right, alpha))
-        pred = F.when(F.col("__b")[f] < F.lit(b), F.lit(left)).otherwise(F.lit(right)) if b > 0 else F.lit(left)
-        miss = (pred != y).cast("double")
-        z = (1.0 - err) + err * math.exp(alpha)
-        data = data.withColumn("__w", F.col("__w") * F.exp(F.lit(alpha) * miss) / F.lit(z))
-        if checkpoint_every and (m + 1) % checkpoint_every == 0:
-            data = data.checkpoint(eager=True)
+        stumps.append(Stump(f or 0, threshold, left, right, alpha, err))
+        scale += math.log((1.0 - err) + err * math.exp(alpha))
+    data.unpersist()
     return AdaBoostModel(stumps)
 
 
+@dataclass
+class AdaBoost:
+    """AdaBoost as an estimator."""
+
+    n_estimators: int = 300
+    learning_rate: float = 0.3
+    key: str = "loan_id"
+
+    def fit(self, data: DataFrame) -> AdaBoostModel:
+        return ada_boost(data, self.n_estimators, self.learning_rate, self.key)
+
+
 # ---------------------------------------------------------------- k nearest neighbours
 
 def knn_classify(train: DataFrame, test: DataFrame, key: str, vec: str, label: str, k: int = 3,

@@ -109,10 +109,45 @@ def q_gaussian_nb(spark, d):
 @query("ada_boost")
 def q_ada_boost(spark, d):
     tr, te, _ = _parts(spark, d)
-    model = M.ada_boost(tr, n_estimators=300, learning_rate=0.3, checkpoint_every=10)
+    model = M.ada_boost(tr, n_estimators=300, learning_rate=0.3)
     return model.transform(te).select("loan_id", M.LABEL, "score", "prediction")
 
 
+STUMP_COLS, STUMP_ROUNDS, STUMP_RATE = ["apr", "dti"], 10, 0.3
+
+
+def _stumps_sql() -> str:
+    """Ten rounds: weights, both classes' running sums per column, the least error, the next weights."""
+    sql = f", w0 AS (SELECT default_flag AS y, {', '.join(STUMP_COLS)}, 1.0::DOUBLE AS w FROM loan_tape WHERE " + \
+        " AND ".join(f"{c} IS NOT NULL" for c in STUMP_COLS) + ")\n"
+    for k in range(STUMP_ROUNDS):
+        long = " UNION ALL ".join(f"SELECT {f} AS f, {c}::DOUBLE AS v, sum(w * y) AS p, sum(w * (1 - y)) AS n FROM w{k} GROUP BY {c}"
+                                  for f, c in enumerate(STUMP_COLS))
+        value = "CASE f " + " ".join(f"WHEN {f} THEN {c}" for f, c in enumerate(STUMP_COLS)) + " END"
+        sql += f""", c{k} AS MATERIALIZED (SELECT f, v, sum(p) OVER run AS p, sum(n) OVER run AS n, sum(p) OVER (PARTITION BY f) AS tp,
+          sum(n) OVER (PARTITION BY f) AS tn, lead(v) OVER (PARTITION BY f ORDER BY v) AS nxt FROM ({long}) WINDOW run AS (PARTITION BY f ORDER BY v)),
+s{k} AS MATERIALIZED (SELECT f, v + (nxt - v) / 2 AS threshold, side, e / (tp + tn) AS err, {STUMP_RATE} * ln((tp + tn - e) / e) AS alpha FROM (
+          SELECT *, 1 AS side, n + tp - p AS e FROM c{k} UNION ALL SELECT *, 0 AS side, p + tn - n AS e FROM c{k})
+          WHERE nxt IS NOT NULL ORDER BY round(e / (tp + tn), 11), f, v, side DESC LIMIT 1),
+w{k + 1} AS MATERIALIZED (SELECT y, {', '.join(STUMP_COLS)},
+          w * CASE WHEN CASE WHEN {value} <= threshold THEN side ELSE 1 - side END = y THEN 1 ELSE exp(alpha) END
+            / ((1 - err) + err * exp(alpha)) AS w FROM w{k}, s{k})
+"""
+    return sql + "\nUNION ALL\n".join(
+        f"SELECT {k + 1} AS round, f AS feature, round(threshold, 6) AS threshold, CAST(side AS DOUBLE) AS left_class, round(err, 6) AS error, "
+        f"round(alpha, 6) AS alpha FROM s{k}" for k in range(STUMP_ROUNDS))
+
+
+@query("ada_boost_stumps", tape_sql(_stumps_sql()))
+def q_ada_boost_stumps(spark, d):
+    """The first ten stumps on two columns (complete rows): the best cut over all distinct values each round."""
+    t = labelled_tape(spark, d).dropna(subset=STUMP_COLS)
+    tr, _, _ = M.prepare(t, None, M.FeatureSpec(numeric=STUMP_COLS, categorical=[], label="default_flag", key="loan_id"))
+    model = M.ada_boost(tr, n_estimators=STUMP_ROUNDS, learning_rate=STUMP_RATE)
+    rows = [(k + 1, s.feature, s.threshold, s.left, s.error, s.alpha) for k, s in enumerate(model.stumps)]
+    return spark.createDataFrame(rows, "round int, feature int, threshold double, left_class double, error double, alpha double")
+
+
 NB_COLS = ["apr", "dti", "revolving_util", "fico"]
 
 

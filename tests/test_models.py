@@ -58,8 +58,8 @@ def test_ada_boost_recovers_signal_and_is_stable(planted):
     relabel = lambda df: df.withColumn(
         "label", ((x[0] + x[1] / 100.0 > 15.0) != (hash_unit("loan_id", 7) < 0.1)).cast("double"))
     tr, te = relabel(tr), relabel(te)
-    m1 = M.ada_boost(tr, n_estimators=25, learning_rate=0.5, checkpoint_every=5)
-    m2 = M.ada_boost(tr, n_estimators=25, learning_rate=0.5, checkpoint_every=5)
+    m1 = M.ada_boost(tr, n_estimators=25, learning_rate=0.5)
+    m2 = M.ada_boost(tr, n_estimators=25, learning_rate=0.5)
     assert [(s.feature, s.threshold) for s in m1.stumps] == [(s.feature, s.threshold) for s in m2.stumps]
     assert {s.feature for s in m1.stumps} <= {0, 1}
     assert _auc(m1.transform(te)) > 0.8
@@ -165,3 +165,30 @@ def test_one_hot_feature_pipeline(spark):
     assert len(tr.first().features) == 1 + (n_grade + 1) + (n_purpose + 1)
     _, scored = M.fit_score(M.logistic("none"), tr, tr)
     assert scored.count() == t.count()
+
+
+def test_ada_boost_equals_a_direct_version(spark):
+    """All cuts of all features, with a hot value, ties and a constant feature."""
+    rng = np.random.default_rng(3)
+    n = 500
+    x = np.stack((np.round(rng.normal(size=n), 1), np.where(rng.random(n) < 0.6, 0.0, rng.integers(-3, 4, n)), np.ones(n)), axis=1)
+    y = ((x[:, 0] > 0.3) ^ (rng.random(n) < 0.3)).astype(float)
+    w, want = np.ones(n), []
+    for _ in range(12):
+        cuts = []
+        for f in range(3):
+            values = np.unique(x[:, f])
+            for a, b in zip(values, values[1:]):
+                for left in (1.0, 0.0):
+                    e = w[np.where(x[:, f] <= a, left, 1 - left) != y].sum() / n
+                    cuts.append((round(e, 11), f, a + (b - a) / 2, -left, e))
+        _, f, t, left, e = min(cuts)
+        alpha = 0.4 * np.log((1 - e) / e)
+        want.append((f, t, -left, e, alpha))
+        w = w * np.exp(alpha * (np.where(x[:, f] <= t, -left, 1 + left) != y)) / ((1 - e) + e * np.exp(alpha))
+    from pyspark.ml.linalg import Vectors
+    df = spark.createDataFrame([(i, float(b), Vectors.dense(a)) for i, (a, b) in enumerate(zip(x.tolist(), y))], ["loan_id", "label", "features"])
+    got = [(s.feature, s.threshold, s.left, s.error, s.alpha) for s in M.ada_boost(df, 12, 0.4).stumps]
+    assert np.allclose(got, want, atol=1e-9)
+    only = spark.createDataFrame([(1, 1.0, Vectors.dense([1.0])), (2, 1.0, Vectors.dense([2.0]))], ["loan_id", "label", "features"])
+    assert [r.prediction for r in M.ada_boost(only, 5).transform(only).collect()] == [1, 1]

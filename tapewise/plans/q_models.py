@@ -127,10 +127,14 @@ def _stumps_sql() -> str:
         sql += f""", c{k} AS MATERIALIZED (SELECT f, v, sum(p) OVER run AS p, sum(n) OVER run AS n, sum(p) OVER (PARTITION BY f) AS tp,
           sum(n) OVER (PARTITION BY f) AS tn, lead(v) OVER (PARTITION BY f ORDER BY v) AS nxt FROM ({long}) WINDOW run AS (PARTITION BY f ORDER BY v)),
 s{k} AS MATERIALIZED (SELECT f, v + (nxt - v) / 2 AS threshold, side, e / (tp + tn) AS err, {STUMP_RATE} * ln((tp + tn - e) / e) AS alpha FROM (
-          SELECT *, 1 AS side, n + tp - p AS e FROM c{k} UNION ALL SELECT *, 0 AS side, p + tn - n AS e FROM c{k})
-          WHERE nxt IS NOT NULL ORDER BY round(e / (tp + tn), 11), f, v, side DESC LIMIT 1),
+          SELECT *, 1 AS kind, 1 AS side, n + tp - p AS e FROM c{k} WHERE nxt IS NOT NULL
+          UNION ALL SELECT *, 1 AS kind, 0 AS side, p + tn - n AS e FROM c{k} WHERE nxt IS NOT NULL
+          -- the majority without a cut
+          UNION ALL SELECT 0 AS f, NULL AS v, NULL AS p, NULL AS n, max(tp) AS tp, max(tn) AS tn, NULL AS nxt, 0 AS kind,
+                           CAST(max(tp) > max(tn) AS INTEGER) AS side, least(max(tp), max(tn)) AS e FROM c{k} WHERE f = 0)
+          ORDER BY round(e / (tp + tn), 11), kind, f, v, side DESC LIMIT 1),
 w{k + 1} AS MATERIALIZED (SELECT y, {', '.join(STUMP_COLS)},
-          w * CASE WHEN CASE WHEN {value} <= threshold THEN side ELSE 1 - side END = y THEN 1 ELSE exp(alpha) END
+          w * CASE WHEN CASE WHEN threshold IS NULL OR {value} <= threshold THEN side ELSE 1 - side END = y THEN 1 ELSE exp(alpha) END
             / ((1 - err) + err * exp(alpha)) AS w FROM w{k}, s{k})
 """
     return sql + "\nUNION ALL\n".join(

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapewise.functions import special
+
 from tapewise.operators.profile import unpivot
 
 
@@ -84,32 +86,11 @@ def cramers_v(df: DataFrame, cats: Sequence[str], label: str = "default_flag", s
     raise ValueError("style must be 'py' or 'r'")
 
 
-def _jvm_math(spark: SparkSession):
-    return spark.sparkContext._jvm.org.apache.commons.math3.distribution
-
-
 def add_chi2_pvalues(result: DataFrame, chi2: str = "chi2", dof: str = "dof_ref", q: float = 0.95) -> DataFrame:
-    """Append ``crit`` (chi-square quantile at ``q``) and ``p_value`` (upper tail).
-
-    Evaluated on the driver over the result rows, which number one per field.
-    """
-    spark = result.sparkSession
-    dist = _jvm_math(spark)
-    rows = result.collect()
-    out = []
-    for r in rows:
-        d = r[dof]
-        x = r[chi2]
-        if d is None or d <= 0 or x is None:
-            crit = pval = None
-        else:
-            cd = dist.ChiSquaredDistribution(float(d))
-            crit = float(cd.inverseCumulativeProbability(q))
-            # the upper tail itself: 1 - cdf would cancel to 0 for small p-values
-            pval = float(spark.sparkContext._jvm.org.apache.commons.math3.special.Gamma.regularizedGammaQ(float(d) / 2, float(x) / 2))
-        out.append((*r, crit, pval))
-    schema = result.schema.add("crit", "double").add("p_value", "double")
-    return spark.createDataFrame(out, schema)
+    """Append ``crit`` (chi-square quantile at ``q``) and ``p_value`` (upper tail); NULL without degrees of freedom."""
+    known = (F.col(dof) > 0) & F.col(chi2).isNotNull()
+    d = F.when(known, F.col(dof))
+    return result.withColumns({"crit": special.chi2_quantile(q, d), "p_value": special.chi2_tail(F.col(chi2), d)})
 
 
 def point_biserial(df: DataFrame, conts: Sequence[str], label: str = "default_flag", style: str = "py") -> DataFrame:
@@ -143,21 +124,11 @@ def point_biserial(df: DataFrame, conts: Sequence[str], label: str = "default_fl
 
 
 def add_t_pvalues(result: DataFrame, r: str = "r", n: str = "n") -> DataFrame:
-    """Two-sided p-value of a Pearson r via t = r sqrt((n-2)/(1-r^2)) on n-2 degrees of freedom."""
-    spark = result.sparkSession
-    dist = _jvm_math(spark)
-    out = []
-    for row in result.collect():
-        rv, nv = row[r], row[n]
-        if rv is None or nv is None or nv <= 2:
-            p = None
-        elif abs(rv) >= 1.0:
-            p = 0.0
-        else:
-            t = abs(rv) * ((nv - 2) / (1 - rv * rv)) ** 0.5
-            p = float(2.0 * dist.TDistribution(float(nv - 2)).cumulativeProbability(-t))
-        out.append((*row, p))
-    return spark.createDataFrame(out, result.schema.add("p_value", "double"))
+    """Two-sided p-value of a Pearson r via t = r sqrt((n-2)/(1-r^2)) on n-2 degrees of freedom; NULL below 3 rows."""
+    rv, dof = F.col(r), F.when(F.col(n) > 2, F.col(n) - 2)
+    t = F.sqrt(rv * rv * dof / F.when(F.abs(rv) < 1, 1 - rv * rv))
+    tail = F.when(rv.isNull() | dof.isNull(), F.lit(None)).when(F.abs(rv) >= 1, F.lit(0.0)).otherwise(special.t_tails(t, dof))
+    return result.withColumn("p_value", tail.cast("double"))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 1) -> DataFrame:

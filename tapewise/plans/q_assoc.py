@@ -94,14 +94,35 @@ def q_corr_matrix(spark, d):
     return A.corr_matrix(labelled_tape(spark, d), CORR_COLS, digits=1)
 
 
-@query("chi2_pvalues")
+# both densities are summed on a fine grid, an independent way to the tails
+# (in u, the square root of chi-square, where it is smooth)
+_CHI2_GRID = """, ds AS (SELECT DISTINCT CAST(k + m - 1 AS DOUBLE) AS d FROM x),
+dens AS (SELECT d, i * 2e-5::DOUBLE AS u, 2 * power(i * 2e-5::DOUBLE, d - 1) * exp(-power(i * 2e-5::DOUBLE, 2) / 2 - d / 2 * ln(2) - lgamma(d / 2)) AS f
+         FROM ds, range(0, 450001) r(i)),
+cum AS (SELECT d, u, f, sum((f + prev) / 2 * 2e-5::DOUBLE) OVER (PARTITION BY d ORDER BY u) AS p
+        FROM (SELECT *, coalesce(lag(f) OVER (PARTITION BY d ORDER BY u), -f) AS prev FROM dens)),
+crit AS (SELECT d, power(max_by(u + (0.95 - p) / f, u), 2) AS crit FROM cum WHERE p <= 0.95 GROUP BY d),
+tail AS (SELECT field, max_by(1 - p - (sqrt(chi2) - u) * f, u) AS p_value FROM x JOIN cum ON cum.d = x.k + x.m - 1 AND u <= sqrt(chi2) GROUP BY field)
+"""
+
+
+@query("chi2_pvalues", tape_sql(_chi_sql(False) + _CHI2_GRID + f"""SELECT x.field, k, m, n, {r6('chi2')} AS chi2,
+  k + m - 1 AS dof_ref, (k - 1) * (m - 1) AS dof_std,
+  {r6('sqrt(chi2 / n / least(k, m))')} AS v_ref,
+  {r6('CASE WHEN least(k, m) > 1 THEN sqrt(chi2 / n / (least(k, m) - 1)) END')} AS v_std, {r6('crit')} AS crit, {r6('p_value')} AS p_value
+FROM x JOIN crit ON crit.d = x.k + x.m - 1 JOIN tail USING (field)"""))
 def q_chi2_pvalues(spark, d):
     """Critical value at 95 % and upper-tail p-value of each field's chi-square (reference df = k + m - 1)."""
     return A.add_chi2_pvalues(A.cramers_v(labelled_tape(spark, d), CAT_COLS, "default_flag", style="py"),
                               "chi2", "dof_ref")
 
 
-@query("point_biserial_pvalues")
+@query("point_biserial_pvalues", tape_sql(
+    _PB_U + ", pb AS (SELECT field, count(*) AS n, corr(value, default_flag) AS r FROM u2 GROUP BY field),\n"
+    "tt AS (SELECT *, abs(r) * sqrt((n - 2) / (1 - r * r)) AS t, CAST(n - 2 AS DOUBLE) AS v FROM pb),\n"
+    "dens AS (SELECT field, t / 20000 AS h, exp(lgamma((v + 1) / 2) - lgamma(v / 2) - ln(v * pi()) / 2"
+    " - (v + 1) / 2 * ln(1 + (i * t / 20000) ** 2 / v)) * CASE WHEN i IN (0, 20000) THEN 0.5 ELSE 1 END AS f FROM tt, range(0, 20001) g(i))\n"
+    f"SELECT field, n, {r6('r')} AS r, {r6('1 - 2 * (SELECT sum(f * h) FROM dens WHERE dens.field = tt.field)')} AS p_value FROM tt"))
 def q_point_biserial_pvalues(spark, d):
     """Two-sided p-value of each point-biserial r (t distribution, n - 2 df)."""
     return A.add_t_pvalues(A.point_biserial(labelled_tape(spark, d), CONT_COLS, "default_flag", style="py"))

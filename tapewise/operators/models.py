@@ -362,7 +362,7 @@ def knn_classify(train: DataFrame, test: DataFrame, key: str, vec: str, label: s
                  block_rows: int = 4096, seed: int = 11) -> DataFrame:
     """Exact k-NN majority vote (squared Euclidean; ties by train key, votes tied -> smallest label).
 
-    Returns ``key, pred_label`` for every ``test`` row.  The two block counts
+    Returns ``key, pred_label`` for every ``test`` row (NULL without training rows).  The two block counts
     come from two row counts (one number each) and bound every task to one
     block of each side.
     """
@@ -384,4 +384,29 @@ def knn_classify(train: DataFrame, test: DataFrame, key: str, vec: str, label: s
     votes = top.groupBy("qid", "label").agg(F.count(F.lit(1)).alias("__votes"))
     pick = Window.partitionBy("qid").orderBy(F.desc("__votes"), F.asc("label"))
     best = votes.withColumn("__p", F.row_number().over(pick)).filter(F.col("__p") == 1)
-    return best.select(F.col("qid").alias(key), F.col("label").alias("pred_label"))
+    found = best.select(F.col("qid").alias(key), F.col("label").alias("pred_label"))
+    return test.select(key).join(found, key, "left")
+
+
+@dataclass
+class Knn:
+    """k nearest neighbours as an estimator; the model is the training rows."""
+
+    k: int = 3
+    key: str = "loan_id"
+
+    def fit(self, data: DataFrame) -> KnnModel:
+        return KnnModel(self, data)
+
+
+@dataclass
+class KnnModel:
+    est: Knn
+    train: DataFrame
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``prediction`` and the same as ``score``."""
+        key = self.est.key
+        vectors = [d.withColumn("__vec", vector_to_array(F.col(FEATURES))) for d in (self.train, df)]
+        found = knn_classify(*vectors, key, "__vec", LABEL, self.est.k)
+        return df.join(found.select(key, F.col("pred_label").cast("double").alias("score"), F.col("pred_label").alias("prediction")), key)

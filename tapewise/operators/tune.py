@@ -36,20 +36,24 @@ def classification_scores(estimator, data: DataFrame, key: str, folds: int = 3,
     hard out-of-fold labels, its confusion counts, per-fold AUC / accuracy /
     majority baseline means.  Returns (one-row DataFrame, model fitted on all rows).
 
-    ``data`` is prepared (``key, label, features``).  The k fold fits are
+    ``data`` is prepared (``key, label, features``).  An estimator has ``fit(data)``, its model ``transform(df)``,
+    which adds ``prediction`` and either ``score`` or Spark ML's columns.  The k fold fits run side by side and are
     reused for both the pooled and the per-fold metrics.
     """
-    full = estimator.fit(data)
-    train_acc = full.transform(data).agg(
-        F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("train_accuracy"))
-    # the k fits each read the folded data: keep it (recomputable from lineage if an executor is lost)
+    # the fits each read the folded data: keep it (recomputable from lineage if an executor is lost)
     f = kfold(data, key, folds, seed).persist()
-    parts = []
-    for i in range(folds):
+
+    def out_of_fold(i):
         m = estimator.fit(f.filter(F.col("fold") != i))
-        parts.append(m.transform(f.filter(F.col("fold") == i))
-                     .select(key, LABEL, "fold", F.col("prediction").cast("int").alias("prediction"),
-                             score_column(m).alias("score")))
+        return (m.transform(f.filter(F.col("fold") == i))
+                .select(key, LABEL, "fold", F.col("prediction").cast("int").alias("prediction"), score_column(m).alias("score")))
+
+    with ThreadPoolExecutor(max_workers=folds + 1) as pool:
+        whole = pool.submit(estimator.fit, data)
+        parts = list(pool.map(out_of_fold, range(folds)))
+        full = whole.result()
+    train_acc = full.transform(data).agg(
+        F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("train_accuracy"))
     oof = stored(_union(parts), "out-of-fold")
     f.unpersist()
     pooled_auc = C.roc_auc(oof, LABEL, F.col("prediction"))

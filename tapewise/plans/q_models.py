@@ -66,7 +66,7 @@ def q_logistic(spark, d):
 
 
 # fixed values: tree counts of the original forests
-FOREST_TREES, COMPARED_TREES = 1000, 100
+FOREST_TREES, DUMMY_TREES, COMPARED_TREES = 1000, 300, 100
 
 
 def _forest(trees: int = FOREST_TREES):
@@ -303,6 +303,83 @@ def q_classification_scores_forest(spark, d):
     return _cv_scores(spark, d, _forest(), "random_forest")
 
 
+@query("classification_scores_gbm")
+def q_classification_scores_gbm(spark, d):
+    return _cv_scores(spark, d, Boosted(rounds=300, depth=1, rate=0.3, min_rows=1), "gradient_boosting")
+
+
+@query("classification_scores_ada_boost")
+def q_classification_scores_ada_boost(spark, d):
+    return _cv_scores(spark, d, M.AdaBoost(n_estimators=300, learning_rate=0.3), "ada_boost")
+
+
+# ---------------------------------------------------------------- the portfolio study's five dummies
+
+def _dummy_data(spark, d):
+    tape = criteria_dummies(labelled_tape(spark, d), {name: F.expr(rule) for name, rule in DUMMIES.items()}, None)
+    data, _, _ = M.prepare(tape, None, M.FeatureSpec(numeric=list(DUMMIES), categorical=[], label="default_flag", key="loan_id"))
+    return data
+
+
+_DUMMY_ROWS = ", dm AS (SELECT loan_id, default_flag AS label, CAST(" + hash_sql(repr("0")) + " % 3 AS INTEGER) AS fold, " + \
+    " || ".join(f"CAST(coalesce(CAST({rule} AS INTEGER), 0) AS VARCHAR)" for rule in DUMMIES.values()) + " AS cell FROM loan_tape)\n"
+
+
+def _scores_sql(name: str, predicted: str) -> str:
+    """The scores' row from CTE ``predicted (model, fold, label, prediction)``; model -1 is fitted and scored on all rows."""
+    return predicted + f""", cells AS (SELECT fold, count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+       count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp, count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+       count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn FROM predicted WHERE model >= 0 GROUP BY GROUPING SETS ((fold), ())),
+f AS (SELECT *, (tp / (tp + fn) + tn / (tn + fp)) / 2 AS auc, (tp + tn) / (tp + fp + fn + tn) AS acc,
+             greatest(tp + fn, tn + fp) / (tp + fp + fn + tn) AS base FROM cells)
+SELECT '{name}' AS model, round((SELECT avg(CAST(label = prediction AS INTEGER)) FROM predicted WHERE model = -1), 6) AS train_accuracy,
+       round(a.auc, 6) AS auc_hard, a.tp, a.fp, a.fn, a.tn, round((SELECT avg(auc) FROM f WHERE fold IS NOT NULL), 6) AS mean_fold_auc,
+       round((SELECT avg(acc) FROM f WHERE fold IS NOT NULL), 6) AS mean_fold_accuracy,
+       round((SELECT avg(base) FROM f WHERE fold IS NOT NULL), 6) AS mean_baseline FROM f a WHERE a.fold IS NULL"""
+
+
+# a fully grown tree gives every vector of dummies its class share
+@query("decision_tree_dummies", tape_sql(_DUMMY_ROWS + f"SELECT loan_id, label, {r6('avg(label) OVER (PARTITION BY cell)')} AS score, "
+                                         "CAST(avg(label) OVER (PARTITION BY cell) > 0.5 AS INTEGER) AS prediction FROM dm"))
+def q_decision_tree_dummies(spark, d):
+    """One fully grown tree on the five dummies."""
+    data = _dummy_data(spark, d)
+    _, scored = M.fit_score(Tree(seed=10), data, data, "loan_id")
+    return scored.withColumn(M.LABEL, F.col(M.LABEL).cast("int"))
+
+
+@query("classification_scores_tree_dummies", tape_sql(_DUMMY_ROWS + _scores_sql("decision_tree", """, m AS (SELECT unnest([-1, 0, 1, 2]) AS model),
+share AS (SELECT model, cell, avg(label) AS p FROM dm JOIN m ON fold <> model GROUP BY model, cell),
+predicted AS (SELECT model, fold, label, CAST(p > 0.5 AS INTEGER) AS prediction FROM dm JOIN m ON model = -1 OR fold = model JOIN share USING (model, cell))
+""")))
+def q_classification_scores_tree_dummies(spark, d):
+    return T.classification_scores(Tree(seed=10), _dummy_data(spark, d), "loan_id", folds=3, seed=0, name="decision_tree")[0]
+
+
+# neighbours depend on the row's vector of dummies only: per vector the three nearest training rows, least id first
+@query("classification_scores_knn", tape_sql(_DUMMY_ROWS + _scores_sql("knn", """, m AS (SELECT unnest([-1, 0, 1, 2]) AS model),
+v AS (SELECT DISTINCT cell FROM dm),
+near AS (SELECT model, v.cell, label FROM v, m JOIN dm ON fold <> model
+         QUALIFY row_number() OVER (PARTITION BY model, v.cell ORDER BY hamming(v.cell, dm.cell), loan_id) <= 3),
+vote AS (SELECT model, cell, CAST(sum(label) >= 2 AS INTEGER) AS prediction FROM near GROUP BY ALL),
+predicted AS (SELECT model, fold, label, prediction FROM dm JOIN m ON model = -1 OR fold = model JOIN vote USING (model, cell))
+""")))
+def q_classification_scores_knn(spark, d):
+    """Cross-validated scores of 3 nearest neighbours on the five dummies."""
+    return T.classification_scores(M.Knn(3), _dummy_data(spark, d), "loan_id", folds=3, seed=0, name="knn")[0]
+
+
+@query("classification_scores_forest_dummies")
+def q_classification_scores_forest_dummies(spark, d):
+    return T.classification_scores(_forest(DUMMY_TREES), _dummy_data(spark, d), "loan_id", folds=3, seed=0, name="random_forest")[0]
+
+
+@query("classification_scores_gbm_dummies")
+def q_classification_scores_gbm_dummies(spark, d):
+    est = Boosted(rounds=300, depth=1, rate=0.3, min_rows=1)
+    return T.classification_scores(est, _dummy_data(spark, d), "loan_id", folds=3, seed=0, name="gradient_boosting")[0]
+
+
 @query("classification_scores_svm")
 def q_classification_scores_svm(spark, d):
     return _cv_scores(spark, d, M.linear_svm(), "linear_svm")

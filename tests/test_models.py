@@ -192,3 +192,28 @@ def test_ada_boost_equals_a_direct_version(spark):
     assert np.allclose(got, want, atol=1e-9)
     only = spark.createDataFrame([(1, 1.0, Vectors.dense([1.0])), (2, 1.0, Vectors.dense([2.0]))], ["loan_id", "label", "features"])
     assert [r.prediction for r in M.ada_boost(only, 5).transform(only).collect()] == [1, 1]
+
+
+def test_knn_without_training_rows_and_as_an_estimator(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(i, float(i > 2), Vectors.dense([float(i), 1.0])) for i in range(6)], ["loan_id", "label", "features"])
+    vec = df.withColumn("v", F.array(F.col("loan_id").cast("double")))
+    got = M.knn_classify(vec.limit(0), vec, "loan_id", "v", "label", k=3).collect()
+    assert len(got) == 6 and all(r.pred_label is None for r in got)
+    found = {r.loan_id: (r.prediction, r.score) for r in M.Knn(1).fit(df).transform(df).collect()}
+    assert found == {i: (int(i > 2), float(i > 2)) for i in range(6)}
+
+
+@pytest.mark.parametrize("name", ["tree", "forest", "boosted", "ada", "knn"])
+def test_classification_scores_takes_every_estimator(planted, name):
+    from tapewise.operators.boosting import Boosted
+    from tapewise.operators.trees import Forest, Tree
+
+    tr, _, _ = planted
+    est = {"tree": Tree(max_depth=4), "forest": Forest(15, max_depth=6), "boosted": Boosted(30, 2, 0.3), "ada": M.AdaBoost(15, 0.5),
+           "knn": M.Knn(3)}[name]
+    out, model = T.classification_scores(est, tr, "loan_id", folds=3, name=name)
+    r = out.first()
+    assert r.model == name and r.tp + r.fp + r.fn + r.tn == tr.count() and r.train_accuracy >= 0.5
+    assert name == "knn" or r.auc_hard > 0.7

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ from tapewise.functions.exprs import (
     format_percent_expr,
     safe_log_expr,
 )
+from tapewise.operators.sets import among, bounded_rows, salted_flag
+from tapewise.session import stored
 
 
 def default_label(df: DataFrame, status: str = "status", good: Iterable[str] = ("Current", "Matured"),
@@ -60,10 +62,13 @@ def filter_not_blank(df: DataFrame, col: str) -> DataFrame:
 
 
 def isin_filter(df: DataFrame, col: str, values) -> DataFrame:
-    """Set membership: a literal list becomes ``IN``; a DataFrame becomes a left-semi join."""
+    """Set membership: a literal list, or a DataFrame of few values, becomes ``IN``; a larger one a salted join."""
     if isinstance(values, DataFrame):
-        other = values.select(F.col(values.columns[0]).alias("__v")).distinct()
-        return df.join(other, F.col(col) == F.col("__v"), "left_semi")
+        other = values.select(values.columns[0]).distinct()
+        rows = bounded_rows(other)
+        if rows is None:
+            return salted_flag(df, col, other, "__in").filter("__in").drop("__in")
+        return df.filter(among(F.col(col), [r[0] for r in rows]))
     return df.filter(F.col(col).isin(list(values)))
 
 
@@ -116,17 +121,37 @@ def as_string(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in cols})
 
 
+def dense_rank(levels: DataFrame, col: str, out: str) -> DataFrame:
+    """Distinct non-NULL values of any ordered type, numbered from 0 in ascending order.
+
+    Values are range-partitioned and sorted once, written, and numbered by their place in the partition plus the sizes
+    of the partitions before it; one row per partition goes through the running sum.
+    """
+    n = int(levels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()  # partition number above 33 bits of place
+    ranked = stored(levels.repartitionByRange(n, col).sortWithinPartitions(col).withColumn("__place", place), "levels")
+    part = F.shiftright("__place", 33)
+    counts = ranked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before, total = [], 0
+    for r in counts.orderBy("__part").collect():  # one row per shuffle partition
+        before.append((r["__part"], total))
+        total += r["__n"]
+    offsets = levels.sparkSession.createDataFrame(before, "__part long, __off long")
+    joined = ranked.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+    return joined.withColumn(out, F.col("__off") + F.col("__place").bitwiseAND((1 << 33) - 1)).drop("__part", "__place", "__off")
+
+
 def label_encode(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """Categorical -> integer code in ascending value order (LabelEncoder semantics).
 
     Values are ordered in their own type, so numbers rank as numbers.  The
     codes are ranks over the distinct values (one row per level), joined back;
-    no level list goes through the driver.  NULL keeps a NULL code.
+    no level list goes through the driver or one task.  NULL keeps a NULL code.
     """
     out = df
     for c in cols:
         levels = df.select(F.col(c).alias("__level")).filter(F.col("__level").isNotNull()).distinct()
-        codes = levels.select("__level", (F.row_number().over(Window.orderBy("__level")) - 1).cast("int").alias("__code"))
+        codes = dense_rank(levels, "__level", "__code").withColumn("__code", F.col("__code").cast("int"))
         out = out.join(codes, out[c] == codes["__level"], "left").drop("__level")
         out = out.withColumn(f"{c}{suffix}", F.col("__code")).drop("__code")
     return out

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tapewise.functions import knn_kernel, stump_kernel
 from tapewise.functions.exprs import hash_bucket
-from tapewise.operators.trees import stored
+from tapewise.session import stored
 
 # the kernels travel with the task, so workers need no installed package
 for kernel in (knn_kernel, stump_kernel):

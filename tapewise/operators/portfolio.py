@@ -9,7 +9,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewise.session import checkpoint_dir
+from tapewise.operators.sets import among, bounded_rows, salted_flag
+from tapewise.session import stored
 
 
 def any_of(predicates: Sequence[Column]) -> Column:
@@ -47,30 +48,32 @@ def portfolio_from_selection(df: DataFrame, selection: DataFrame, fields: Sequen
                              mode: str = "all") -> DataFrame:
     """Portfolio from a ``(field, value)`` selection table (e.g. ``select_alpha_values``).
 
-    ``mode='all'``: a chain of left-semi joins, one per field (the selection
-    is at most one row per category value, checkpointed once; the planner
-    broadcasts it when its size estimate is small).  ``mode='any'``: rows matching any field,
-    via a flag per field from left joins, without duplicating rows.
+    ``mode='all'`` keeps rows whose every field has a chosen value, ``mode='any'`` those with at least one.  The
+    chosen values are counted first: a bounded set becomes one predicate, a larger one a salted join per field.
     """
-    # the selection (one row per chosen category value) is read once per field: freeze it with a
-    # reliable checkpoint so its plan runs once instead of once per field
-    checkpoint_dir(df.sparkSession)
-    sel = selection.select(F.col("field").alias("__f"), F.col("value").alias("__v")).checkpoint(eager=True)
-    if mode == "all":
-        out = df
-        for f in fields:
-            vals = sel.filter(F.col("__f") == F.lit(f)).select("__v").distinct()
-            out = out.join(vals, F.col(f).cast("string") == F.col("__v"), "left_semi")
-        return out
-    if mode == "any":
-        out = df
-        flags = []
-        for i, f in enumerate(fields):
-            vals = sel.filter(F.col("__f") == F.lit(f)).select(F.col("__v").alias(f"__v{i}")).distinct()
-            out = out.join(vals, F.col(f).cast("string") == F.col(f"__v{i}"), "left")
-            flags.append(F.col(f"__v{i}").isNotNull())
-        return out.filter(any_of(flags)).drop(*[f"__v{i}" for i in range(len(fields))])
-    raise ValueError("mode must be 'all' or 'any'")
+    if mode not in ("all", "any"):
+        raise ValueError("mode must be 'all' or 'any'")
+    sel = selection.select(F.col("field").alias("__f"), F.col("value").alias("__v")).filter(F.col("__f").isin(list(fields)))
+    rows = bounded_rows(sel)
+    combine = all_of if mode == "all" else any_of
+    if rows is not None:
+        return df.filter(combine([among(F.col(f).cast("string"), [r["__v"] for r in rows if r["__f"] == f]) for f in fields]))
+    sel, out = stored(sel, "selection"), df
+    for i, f in enumerate(fields):
+        out = salted_flag(out, f, sel.filter(F.col("__f") == F.lit(f)).select("__v"), f"__in{i}")
+    flags = [f"__in{i}" for i in range(len(fields))]
+    return out.filter(combine([F.col(x) for x in flags])).drop(*flags)
+
+
+def selected_criteria(selection: DataFrame) -> dict[str, list]:
+    """A ``(field, value)`` selection as criteria to edit; an error beyond the bound of a value set."""
+    rows = bounded_rows(selection.select("field", "value").orderBy("field", "value"))
+    if rows is None:
+        raise ValueError("too many chosen values to edit by hand")
+    out: dict = {}
+    for r in rows:
+        out.setdefault(r["field"], []).append(r["value"])
+    return out
 
 
 def portfolio_metrics(df: DataFrame, subset: Column | DataFrame, label: str = "default_flag",

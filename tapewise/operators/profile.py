@@ -82,16 +82,18 @@ def crosstab(df: DataFrame, a: str, b: str, margins: bool = True, wide: bool = F
     """Contingency counts of two columns (rows with a NULL in either are dropped).
 
     Long form ``a, b, n`` with ``total`` margins from ``cube``; ``wide=True``
-    pivots ``b`` into columns (plus a ``total`` column when ``margins``).
+    pivots ``b`` into columns (plus a ``total`` column and row when ``margins``);
+    its levels, which become columns, are read first.
     """
     base = df.select(F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b)) \
              .filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     if wide:
-        pivoted = base.groupBy(a).pivot(b).count().na.fill(0)
-        if margins:
-            value_cols = [c for c in pivoted.columns if c != a]
-            pivoted = pivoted.withColumn(total, sum((F.col(f"`{c}`") for c in value_cols), F.lit(0)))
-        return pivoted
+        levels = [r[0] for r in base.select(b).distinct().orderBy(b).collect()]
+        counts = [F.count_if(F.col(b) == F.lit(v)).alias(v) for v in levels] + ([F.count(F.lit(1)).alias(total)] if margins else [])
+        if not margins:
+            return base.groupBy(a).agg(*counts) if counts else base.select(a).distinct()
+        whole = base.rollup(a).agg(*counts, F.grouping(a).alias("__g"))
+        return whole.select(F.when(F.col("__g") == 1, F.lit(total)).otherwise(F.col(a)).alias(a), *[F.col(f"`{v}`") for v in [*levels, total]])
     if not margins:
         return base.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     cube = base.cube(a, b).agg(F.count(F.lit(1)).alias("n"), F.grouping(a).alias("__ga"), F.grouping(b).alias("__gb"))
@@ -109,6 +111,12 @@ def default_rate_by(df: DataFrame, col: str, label: str = "default_flag") -> Dat
             .orderBy(F.desc("mean_default"), F.asc("value")))
 
 
+def default_rates_by_field(df: DataFrame, cols: Sequence[str], label: str = "default_flag") -> DataFrame:
+    """``default_rate_by`` over many fields in one grouped aggregate: ``field, value, mean_default, n``."""
+    long = unpivot(df, cols, keep=[label]).filter(F.col("value").isNotNull())
+    return long.groupBy("field", "value").agg(F.avg(label).alias("mean_default"), F.count(F.lit(1)).alias("n"))
+
+
 def mean_by_ordered(df: DataFrame, col: str, by: str, order: Sequence) -> DataFrame:
     """Mean of ``col`` per ``by`` level in a fixed level order; absent levels get NULL."""
     spark = df.sparkSession

@@ -23,7 +23,6 @@ weights and class shares along each row's path, so that any ``max_depth`` or
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -36,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewise.functions import tree_kernel
-from tapewise.session import checkpoint_dir
+from tapewise.session import stored
 
 cloudpickle.register_pickle_by_value(tree_kernel)
 
@@ -65,13 +64,6 @@ class TreePlan:
     max_depth: int | None = None
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back."""
-    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _poisson(draw: Column, most: int = 12) -> Column:
     """Poisson(1) weight of a uniform draw."""
     below, out = 0.0, F.lit(float(most))

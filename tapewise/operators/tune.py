@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from tapewise.operators import curves as C
 from tapewise.operators.models import LABEL, FeatureSpec, fit_score, prepare, score_column
 from tapewise.operators.split import kfold
-from tapewise.operators.trees import Tree, TreePlan, grow_trees, stored
+from tapewise.operators.trees import Tree, TreePlan, grow_trees
+from tapewise.session import stored
 
 
 def _union(dfs: Sequence[DataFrame]) -> DataFrame:
@@ -124,6 +125,11 @@ def _areas(scored: DataFrame) -> DataFrame:
     return areas.select("param", "value", F.col("pr_auc_one").alias("pr_auc"))
 
 
+def sweep_areas(train: DataFrame, test: DataFrame, grids: Mapping[str, Sequence], key: str, seed: int = 10) -> DataFrame:
+    """``param, value, pr_auc`` of every value of every grid."""
+    return _areas(sweep_scores(train, test, grids, key, seed))
+
+
 def best_values(areas: DataFrame) -> dict[str, float]:
     """Per parameter the first (smallest) value with the largest area."""
     top = areas.groupBy("param").agg(F.max(F.struct("pr_auc", (-F.col("value")).alias("low"))).alias("top"))
@@ -245,4 +251,4 @@ def nested_feature_models(train_raw: DataFrame, test_raw: DataFrame, feature_set
 
 
 __all__ = ["classification_scores", "sweep", "tune_and_refit", "roc_comp", "nested_feature_models", "repeated_cv_search",
-           "sweep_scores", "tree_for", "best_values"]
+           "sweep_areas", "sweep_scores", "tree_for", "best_values"]

@@ -21,11 +21,12 @@ from tapewise.operators import models as M
 from tapewise.operators import tune as T
 from tapewise.operators.boosting import Boosted, TunedBoosted, boosted_cv
 from tapewise.operators.portfolio import criteria_dummies
-from tapewise.operators.split import random_split
+from tapewise.operators.split import random_split, robust_scale, stratified_split
 from tapewise.operators.trees import Forest, Tree
 from tapewise.plans.q_returns import ALL_SQL
 from tapewise.plans.q_split import SPLIT_SQL, hash_sql
 from tapewise.plans.registry import query, r6, tape_sql
+from tapewise.session import stored
 from tapewise.sources.fixture import labelled_tape, read_table
 
 NUMERIC = ["apr", "fico", "inquiries_6m", "annual_income", "dti", "loan_amount", "revolving_util"]
@@ -472,6 +473,29 @@ def q_gbm_repeated_cv(spark, d):
     return boosted_cv(tr, "loan_id", GBM_GRID, GBM)[0]
 
 
+@query("card_study")
+def q_card_study(spark, d):
+    """The card study end to end: robust scaling, stratified split, three models, the tuned tree, and their scores.
+
+    One row per model: accuracy, precision, recall, AUC of the hard labels and the anchored precision-recall area.
+    """
+    scaled = robust_scale(labelled_tape(spark, d), NUMERIC)
+    t = stored(stratified_split(scaled, "loan_id", "default_flag", 0.2, seed=123), "card-study")
+    tr, te, _ = M.prepare(t.filter("part = 'train'"), t.filter("part = 'test'"), _spec())
+    tr, te = stored(tr, "card-train"), stored(te, "card-test")
+    n, p = tr.count(), len(tr.first()[M.FEATURES])
+    areas = stored(T.sweep_areas(tr, te, tuning_grids(p), "loan_id"), "card-sweeps")
+    ests = {"dec": Tree(seed=10), "lr": M.logistic("sklearn", n_train=n), "nb": M.gaussian_nb(),
+            "dec_tuned": T.tree_for(T.best_values(areas), n, "loan_id")}
+    scored = stored(reduce(lambda a, b: a.unionByName(b), [
+        M.fit_score(est, tr, te, "loan_id")[1].withColumn("model", F.lit(name)) for name, est in ests.items()]), "card-scores")
+    stats = reduce(lambda a, b: a.unionByName(b), [
+        C.accuracy_stats(scored.filter(F.col("model") == name), M.LABEL, "prediction").withColumn("model", F.lit(name)) for name in ests])
+    hard = C.roc_auc(scored, M.LABEL, F.col("prediction"), by=["model"])
+    area = C.pr_auc(scored, M.LABEL, "score", by=["model"]).select("model", F.col("pr_auc_one").alias("pr_auc"))
+    return stats.join(hard, "model").join(area, "model").select("model", "accuracy", "precision", "recall", "auc_roc", "pr_auc")
+
+
 @query("logistic_thresholds")
 def q_logistic_thresholds(spark, d):
     """Logistic probabilities cut at 0.5 and 0.2: accuracy, precision, recall and hard-label AUC per threshold."""

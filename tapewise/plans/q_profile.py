@@ -75,6 +75,24 @@ def q_crosstab_margins(spark, d):
     return P.crosstab(labelled_tape(spark, d), "grade", "default_flag", margins=True)
 
 
+@query("crosstab_wide", tape_sql(
+    """, b AS (SELECT grade, default_flag FROM loan_tape WHERE grade IS NOT NULL AND default_flag IS NOT NULL)
+SELECT CASE WHEN grouping(grade) = 1 THEN 'All' ELSE grade END AS grade, count(*) FILTER (WHERE default_flag = 0) AS "0",
+       count(*) FILTER (WHERE default_flag = 1) AS "1", count(*) AS "All" FROM b GROUP BY ROLLUP (grade)"""))
+def q_crosstab_wide(spark, d):
+    return P.crosstab(labelled_tape(spark, d), "grade", "default_flag", margins=True, wide=True)
+
+
+RATE_COLS = ["grade", "purpose", "state", "home_ownership", "term_months", "modified_flag"]
+
+
+@query("default_rates_by_field", tape_sql(
+    ", u AS (" + union_long(RATE_COLS, "'{c}' AS field, CAST({c} AS VARCHAR) AS value, default_flag") + ")\n"
+    f"SELECT field, value, {r6('avg(default_flag)')} AS mean_default, count(*) AS n FROM u WHERE value IS NOT NULL GROUP BY field, value"))
+def q_default_rates_by_field(spark, d):
+    return P.default_rates_by_field(labelled_tape(spark, d), RATE_COLS)
+
+
 @query("default_rate_by", tape_sql(
     f"SELECT state AS value, {r6('avg(default_flag)')} AS mean_default, count(*) AS n "
     "FROM loan_tape WHERE state IS NOT NULL GROUP BY state"))

@@ -37,6 +37,11 @@ def q_def_adj_rets(spark, d):
     return R.def_adj_rets(labelled_tape(spark, d), DAR_FEATURES, DAR_UP, 0.75)
 
 
+@query("def_adj_rets_50", _dar_sql(0.5))
+def q_def_adj_rets_50(spark, d):
+    return R.def_adj_rets(labelled_tape(spark, d), DAR_FEATURES, DAR_UP, 50)
+
+
 RBC_COLS = ["grade", "purpose", "state", "home_ownership", "term_months"]
 
 
@@ -110,6 +115,42 @@ def q_alpha_portfolio(spark, d):
     return PF.portfolio_metrics(tape, picked)
 
 
+# fixed values: the hand edit of the selection, a field left out and the grades set
+EDIT_DROP, EDIT_GRADES = ["home_ownership"], ["2", "3", "5"]
+_EDITED = ("purpose IN (SELECT value FROM sel WHERE field = 'purpose') {op} grade IN ('2', '3', '5')")
+
+
+def _edited(spark, d, mode):
+    """Selection -> hand edit -> portfolio -> its metrics."""
+    tape = labelled_tape(spark, d)
+    criteria = PF.selected_criteria(R.select_alpha_values(tape, FLAGSHIP_COLS, share=0.2))
+    criteria = PF.edit_criteria(criteria, drop=EDIT_DROP, override={"grade": EDIT_GRADES})
+    combine = PF.any_of if mode == "any" else PF.all_of
+    return PF.portfolio_metrics(tape, combine(PF.criteria_predicates(criteria)))
+
+
+@query("edited_portfolio_all", tape_sql(
+    _alpha_ctes(FLAGSHIP_COLS) + ", sub AS (SELECT * FROM loan_tape WHERE " + _EDITED.format(op="AND") + ")\n" + _METRICS_SELECT))
+def q_edited_portfolio_all(spark, d):
+    return _edited(spark, d, "all")
+
+
+@query("edited_portfolio_any", tape_sql(
+    _alpha_ctes(FLAGSHIP_COLS) + ", sub AS (SELECT * FROM loan_tape WHERE " + _EDITED.format(op="OR") + ")\n" + _METRICS_SELECT))
+def q_edited_portfolio_any(spark, d):
+    return _edited(spark, d, "any")
+
+
+@query("alpha_portfolio_any", tape_sql(
+    _alpha_ctes(FLAGSHIP_COLS) + ", sub AS (SELECT * FROM loan_tape WHERE "
+    + " OR ".join(f"CAST({c} AS VARCHAR) IN (SELECT value FROM sel WHERE field = '{c}')" for c in FLAGSHIP_COLS) + ")\n" + _METRICS_SELECT))
+def q_alpha_portfolio_any(spark, d):
+    """The OR portfolio of the selection."""
+    tape = labelled_tape(spark, d)
+    sel = R.select_alpha_values(tape, FLAGSHIP_COLS, share=0.2)
+    return PF.portfolio_metrics(tape, PF.portfolio_from_selection(tape, sel, FLAGSHIP_COLS, mode="any"))
+
+
 @query("portfolio_any", tape_sql(
     "SELECT loan_id, inquiries_6m, fico FROM loan_tape WHERE coalesce(inquiries_6m <= 0 OR fico >= 707, false)"))
 def q_portfolio_any(spark, d):

@@ -202,6 +202,11 @@ def q_format_percent(spark, d):
 
 
 
+@query("round_to", tape_sql("SELECT loan_id, round(CAST(fico AS DOUBLE) / 7, 2) AS fico_7 FROM loan_tape"))
+def q_round_to(spark, d):
+    return clean.round_to(labelled_tape(spark, d).select("loan_id", (F.col("fico").cast("double") / 7).alias("fico_7")), ["fico_7"], 2)
+
+
 # ---------------------------------------------------------------- sources and schema operations
 
 @query("read_tape", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")

@@ -22,7 +22,8 @@ def read_tape(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
               normalise_names: bool = False) -> DataFrame:
     """Load a loan tape.
 
-    CSV needs a declared schema on large inputs (no inference pass).  Blank
+    CSV needs a declared schema, as inferring one reads everything a second
+    time; ``options={'inferSchema': 'true'}`` asks for it all the same.  Blank
     strings in CSV are not nulls in Spark by default; pair with
     ``blank_to_null`` when the source writes missing values as ''.
     """
@@ -33,8 +34,8 @@ def read_tape(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
         reader = reader.option(k, v)
     if schema is not None:
         reader = reader.schema(schema)
-    elif fmt == "csv":
-        reader = reader.option("inferSchema", "true")
+    elif fmt == "csv" and (options or {}).get("inferSchema") != "true":
+        raise ValueError("a CSV tape needs a schema")
     df = reader.load(path)
     if normalise_names:
         df = df.toDF(*[snake_case(c) for c in df.columns])

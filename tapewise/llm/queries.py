@@ -56,8 +56,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page in WARC archives, read back and indexed."""
     found = warc.capture_index(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at",
-                        "archive", "offset", "length", "merge_range", "merge_pos")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +100,27 @@ ORACLES: dict[str, str] = {
              g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM n JOIN g USING (norm)""",
+    "op8_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+             r AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM r""",
+    "op10_jaccard": r"""
+        WITH RECURSIVE w AS (
+               SELECT doc_id, list_filter(regexp_split_to_array(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+               FROM documents),
+             s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS g FROM w),
+             t AS (SELECT doc_id, unnest(g) AS g FROM s),
+             c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM t a JOIN t b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+             l AS (SELECT x, y FROM c JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y WHERE 100 * n >= 80 * (len(a.g) + len(b.g) - n)),
+             e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+             r AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+        SELECT doc_id, len(g) AS n_shingles, component_id
+        FROM s JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) USING (doc_id)""",
     "op13_hard_negatives": """
         WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c

@@ -73,7 +73,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end
             .withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text"))
     found = rows.drop("tie").mapInArrow(lambda b: tidied(_encode(b, tokenizer, end_id)),
                             "part int, part_start long, doc_id long, n_tokens long, ids array<int>")
-    options = {"compression": "zstd", "parquet.writer.version": "v2", "parquet.block.size": row_group_bytes,
+    options = {"compression": "snappy", "parquet.writer.version": "v2", "parquet.block.size": row_group_bytes,
                "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows, "parquet.enable.dictionary": "true"}
     for name in ("part_start", "doc_id", "n_tokens"):
         options[f"parquet.enable.dictionary#{name}"] = "false"

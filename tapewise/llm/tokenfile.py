@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapewise.llm.common import by_value, text_or_empty
+from tapewise.llm.common import by_value, freed, text_or_empty
 from tapewise.llm.textids import encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -64,6 +64,8 @@ def _encode(batches, tokenizer: str, end_id: int):
                 keys, found, size = [], [], 0
     if found:
         yield pack(keys, found)
+    keys = found = None
+    freed(None)
 
 
 def write_token_file(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID,

@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tapewise.operators import clean
 from tapewise.operators import curves as C
 from tapewise.operators import models as M
 from tapewise.operators import tune as T
@@ -25,6 +26,7 @@ from tapewise.operators.split import random_split, robust_scale, stratified_spli
 from tapewise.operators.trees import Forest, Tree
 from tapewise.plans.q_returns import ALL_SQL
 from tapewise.plans.q_split import SPLIT_SQL, hash_sql
+from tapewise.plans.q_tape import DTI_EDGES, INQ_EDGES
 from tapewise.plans.registry import query, r6, tape_sql
 from tapewise.session import stored
 from tapewise.sources.fixture import labelled_tape, read_table
@@ -466,6 +468,26 @@ def q_nested_feature_models(spark, d):
     return T.nested_feature_models(train, test, sets, _comparison_models, "loan_id")
 
 
+# fixed values: the bucketed frame's nested lists (full, without the two weakest, without two more)
+BUCKETED_SETS = {
+    "full": (["apr", "fico"], ["inq6_bucket", "dti_bucket", "purpose", "home_ownership", "grade", "modified_flag"]),
+    "top6": (["apr", "fico"], ["inq6_bucket", "dti_bucket", "purpose", "grade"]),
+    "top4": (["apr", "fico"], ["inq6_bucket", "grade"]),
+}
+
+
+@query("bucketed_feature_models")
+def q_bucketed_feature_models(spark, d):
+    """The bucketed frame, missing levels as '999', through forest, logistic fit and tuned boosting: areas per feature set."""
+    t = clean.cut_bins(labelled_tape(spark, d), "inquiries_6m", INQ_EDGES, out="inq6_bucket")
+    t = clean.as_string(clean.cut_bins(t, "dti", DTI_EDGES, out="dti_bucket"), ["modified_flag"])
+    levels = BUCKETED_SETS["full"][1]
+    t = random_split(clean.fill_const(t, {c: "999" for c in levels}), "loan_id", 0.2, seed=3)
+    t = stored(t.select("loan_id", "default_flag", "apr", "fico", *levels, "part"), "bucketed-frame")
+    sets = {k: _spec(n, c, one_hot=True) for k, (n, c) in BUCKETED_SETS.items()}
+    return T.nested_feature_models(t.filter("part = 'train'"), t.filter("part = 'test'"), sets, _comparison_models, "loan_id")
+
+
 @query("gbm_repeated_cv")
 def q_gbm_repeated_cv(spark, d):
     """Gradient boosting tuned by 4 x 4 repeated cross-validation on the training part."""

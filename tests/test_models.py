@@ -217,3 +217,11 @@ def test_classification_scores_takes_every_estimator(planted, name):
     r = out.first()
     assert r.model == name and r.tp + r.fp + r.fn + r.tn == tr.count() and r.train_accuracy >= 0.5
     assert name == "knn" or r.auc_hard > 0.7
+
+
+def test_bucketed_frame_models(spark):
+    from tapewise.plans import QUERIES
+
+    rows = QUERIES["bucketed_feature_models"](spark, SF0001).collect()
+    assert {(r.feature_set, r.model) for r in rows} == {(f, m) for f in ("full", "top6", "top4") for m in ("random_forest", "logistic", "gradient_boosting")}
+    assert all(0 <= r.roc_auc <= 1 and 0 <= r.pr_auc <= 1 for r in rows)

@@ -4,11 +4,13 @@ Documents with equal texts form a group that may not be divided.  Groups,
 largest first, enter the bin whose free room is the tightest that holds them;
 a balanced tree ordered by free room finds it in logarithmic time.
 
-The packing itself sees a bounded number of items, however large the table:
-
-- a group of at least ``total / (shards * FINE)`` bytes is an item of its own,
-  and there are at most ``shards * FINE`` of those;
-- smaller groups are dealt by digest into ``LOTS`` lots, each one item.
+Groups of one size are interchangeable, so the packing reads a histogram: how
+many groups each size has.  After a group entered the tightest bin, that bin
+is still the tightest for the next group of this size until it is full, so
+equal sizes are placed a bin at a time, exactly as one by one.  ``total`` bytes
+hold at most ``sqrt(2 * total)`` different sizes, which bounds the histogram
+(14 million sizes at 100 TB); groups themselves never leave the executors.
+They are numbered within their size, and their number gives the bin.
 
 ``slot`` numbers a shard's documents from 0 without gaps.  It comes from block
 counts of a table written once, so no task or window holds a whole shard.
@@ -21,6 +23,7 @@ empty table gives no rows.  Other columns are ignored.
 from __future__ import annotations
 
 import random
+from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +31,11 @@ from pyspark.sql import functions as F
 from tapewise.llm.common import materialize, text_or_empty
 
 SHARDS = 16
-FINE = 2048
-LOTS = 1 << 16
 BLOCK_ROWS = 1 << 16
+#: A text on one of this many rows or a larger share of them is placed by a broadcast table of at most so many rows.
+HOT_SHARE = 4096
+#: The placements are sent to every task up to this many rows; beyond that the join is shuffled.
+BROADCAST_RUNS = 1_000_000
 #: Shares by which the capacity may exceed an equal split, tried in this order.
 SLACK = (0.0001, 0.0005, 0.002, 0.01, 0.05, 0.25, 1.0)
 
@@ -83,32 +88,50 @@ class RoomTree:
         return b
 
 
-def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None) -> list[int] | None:
-    """The bin of each item; None if an item exceeds the capacity or more than ``most`` bins would be needed."""
-    rooms, bins, out = RoomTree(), 0, [0] * len(sizes)
-    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-        size = sizes[i]
+def best_fit_runs(histogram: list[tuple[int, int]], capacity: int, most: int | None = None) -> list[tuple[int, int, int, int]] | None:
+    """(size, first, after, bin): where the ``first``-th up to the ``after``-th item of each size goes, for (size, count) pairs.
+
+    None if an item exceeds the capacity or more than ``most`` bins would be needed.
+    """
+    rooms, bins, out = RoomTree(), 0, []
+    for size, count in sorted(histogram, reverse=True):
         if size > capacity:
             return None
-        found = rooms.take(size)
-        if found is None:
-            if bins == most:
-                return None
-            found, bins = (capacity, bins), bins + 1
-        out[i] = found[1]
-        rooms.insert((found[0] - size, found[1]))
+        placed = 0
+        while placed < count:
+            found = rooms.take(size)
+            if found is None:
+                if bins == most:
+                    return None
+                found, bins = (capacity, bins), bins + 1
+            n = min(count - placed, found[0] // size)
+            out.append((size, placed, placed + n, found[1]))
+            rooms.insert((found[0] - n * size, found[1]))
+            placed += n
     return out
 
 
-def fit_shards(sizes: list[int], shards: int) -> list[int]:
-    """Bins of the smallest tried capacity at which best-fit decreasing needs at most ``shards`` bins."""
-    total, largest = sum(sizes), max(sizes, default=0)
+def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None) -> list[int] | None:
+    """The bin of each item; items of one size in their order."""
+    runs = best_fit_runs(list(Counter(sizes).items()), capacity, most)
+    if runs is None:
+        return None
+    bins = defaultdict(list)
+    for size, first, after, k in runs:
+        bins[size] += [k] * (after - first)
+    places = {size: iter(ks) for size, ks in bins.items()}
+    return [next(places[size]) for size in sizes]
+
+
+def fit_shards(histogram: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int, int]]:
+    """Runs of the smallest tried capacity at which best-fit decreasing needs at most ``shards`` bins."""
+    total, largest = sum(s * n for s, n in histogram), max((s for s, _ in histogram), default=0)
     for slack in SLACK:
-        found = best_fit_decreasing(sizes, max(largest, -(-total // shards) + int(total / shards * slack)), shards)
+        found = best_fit_runs(histogram, max(largest, -(-total // shards) + int(total / shards * slack)), shards)
         if found is not None:
             return found
     # best-fit decreasing never leaves two bins half empty, so twice the share always fits
-    return best_fit_decreasing(sizes, max(largest, 2 * -(-total // shards) + 1), shards)
+    return best_fit_runs(histogram, max(largest, 2 * -(-total // shards) + 1), shards)
 
 
 def number_rows(df: DataFrame, by: str, name: str) -> DataFrame:
@@ -123,22 +146,32 @@ def number_rows(df: DataFrame, by: str, name: str) -> DataFrame:
             .drop("__block", "__row", "__before"))
 
 
+def place_groups(groups: DataFrame, shards: int) -> DataFrame:
+    """(digest, shard) of the stored groups (digest, bytes, n)."""
+    sizes = groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("groups")).toArrow()
+    runs = fit_shards(list(zip(sizes.column("bytes").to_pylist(), sizes.column("groups").to_pylist())), shards)
+    runs_table = groups.sparkSession.createDataFrame(runs, "r_bytes long, first long, after long, shard int")
+    if len(runs) <= BROADCAST_RUNS:
+        runs_table = F.broadcast(runs_table)
+    ranked = number_rows(groups, "bytes", "rank")
+    here = (F.col("bytes") == F.col("r_bytes")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("after"))
+    return ranked.join(runs_table, here).select("digest", "shard")
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every document; shards are nearly equal in bytes."""
-    spark = docs.sparkSession
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
-    rows = rows.withColumn("lot", F.pmod(F.xxhash64("digest"), F.lit(LOTS)).cast("int"))
-    groups = materialize(rows.groupBy("digest", "lot").agg(F.sum("size").alias("bytes")), "shard-groups")
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
-    least = max(1, total // (shards * FINE))
-    # both results have a fixed greatest number of rows: shards * FINE + 1 groups per least size, and LOTS lots
-    large = groups.filter(F.col("bytes") > least).select("digest", "bytes").collect()
-    lots = groups.filter(F.col("bytes") <= least).groupBy("lot").agg(F.sum("bytes").alias("bytes")).collect()
-    found = fit_shards([r["bytes"] for r in large] + [r["bytes"] for r in lots], shards)
-    by_digest = spark.createDataFrame([(bytes(r["digest"]), s) for r, s in zip(large, found)], "digest binary, s1 int")
-    by_lot = spark.createDataFrame([(r["lot"], s) for r, s in zip(lots, found[len(large):])], "lot int, s2 int")
-    placed = (rows.join(F.broadcast(by_digest), "digest", "left").join(F.broadcast(by_lot), "lot", "left")
-              .select("doc_id", "size", "text_crc32", F.coalesce("s1", "s2").alias("shard")))
-    return number_rows(materialize(placed, "shards"), "shard", "slot")
+    groups = materialize(rows.groupBy("digest").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "shard-groups")
+    placed = materialize(place_groups(groups, shards), "shard-placed")
+    # a hot text's rows meet its shard without a shuffle; there are at most HOT_SHARE such texts
+    count = groups.agg(F.sum("n")).first()[0] or 0
+    hot = groups.filter(F.col("n") * HOT_SHARE >= F.lit(count)).filter("n > 1").select("digest")
+    hot = placed.join(F.broadcast(hot), "digest", "left_semi").select("digest", F.col("shard").alias("hot_shard"))
+    rows = rows.join(F.broadcast(hot), "digest", "left")
+    # their keys in the shuffle are spread, and match no digest
+    key = F.when(F.col("hot_shard").isNull(), F.col("digest")).otherwise(F.monotonically_increasing_id().cast("string").cast("binary"))
+    found = rows.withColumn("key", key).join(placed.withColumnRenamed("digest", "key"), "key", "left").select(
+        "doc_id", "size", "text_crc32", F.coalesce("hot_shard", "shard").alias("shard"))
+    return number_rows(materialize(found, "shards"), "shard", "slot")

@@ -55,11 +55,14 @@ def _screen(batch: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
     return batch.assign(maybe=maybe)[["sha", "first_id", "n", "maybe"]]
 
 
-def build_snapshot(digests: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[DataFrame, DataFrame, int]:
-    """Immutable snapshot of (doc_id, sha): its digest table, its filters and its number of buckets."""
+def build_snapshot(digests: DataFrame, bucket_keys: int = BUCKET_KEYS, batch_rows: int = 0) -> tuple[DataFrame, DataFrame, int]:
+    """Immutable snapshot of (doc_id, sha): its digest table, its filters and its number of buckets.
+
+    A batch of ``batch_rows`` rows spreads over enough buckets too, however small the snapshot is.
+    """
     groups = digests.groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     groups = materialize(groups, "snapshot")
-    buckets = max(1, -(-groups.count() // bucket_keys))
+    buckets = max(1, -(-max(groups.count(), batch_rows) // bucket_keys))
     filters = groups.select("sha", bucket_of(buckets)).groupBy("bucket").applyInPandas(_build, FILTER_SCHEMA)
     return groups, materialize(filters, "snapshot-filters"), buckets
 
@@ -74,11 +77,11 @@ def screen(batch: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
     return dealt.cogroup(filters.groupBy("bucket")).applyInPandas(_screen, "sha binary, first_id long, n long, maybe boolean")
 
 
-def dedup_groups(digests: DataFrame, in_snapshot: Column) -> DataFrame:
+def dedup_groups(digests: DataFrame, in_snapshot: Column, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """(sha, keep_id, group_size) over a snapshot and the batch of all other rows."""
-    snapshot, filters, buckets = build_snapshot(digests.filter(in_snapshot))
-    batch = (digests.filter(~F.coalesce(in_snapshot, F.lit(False))).groupBy("sha")
-             .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")))
+    fresh = digests.filter(~F.coalesce(in_snapshot, F.lit(False)))
+    snapshot, filters, buckets = build_snapshot(digests.filter(in_snapshot), bucket_keys, fresh.count())
+    batch = fresh.groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     screened = materialize(screen(batch, filters, buckets), "screened")
     hits = screened.filter("maybe").select("sha", F.col("first_id").alias("b_first"), F.col("n").alias("b_n"))
     old = snapshot.join(hits, "sha", "left").select(

@@ -134,6 +134,28 @@ def test_sharding(docs, none):
     assert sharding.shard_documents(none).count() == 0
 
 
+def test_sharding_places_every_group_by_best_fit(spark):
+    """Many small groups of few sizes: the shards are those of the groups placed one by one."""
+    rng = random.Random(12)
+    texts = [f"{k:03d}" + "x" * rng.choice([0, 1, 1, 1, 5, 40, 300]) for k in range(900)]
+    rows = [(i, texts[rng.randrange(900)]) for i in range(2000)] + [(None, "hot")] * 900
+    found = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), shards=4).collect()
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((i, len(t) + 1) for i, t in rows)
+    where, groups = {}, Counter()
+    for r in found:
+        assert where.setdefault(r.text_crc32, r.shard) == r.shard
+        groups[r.text_crc32] += r.size
+    histogram = Counter(groups.values())
+    want = Counter()
+    for size, first, after, shard in sharding.fit_shards(list(histogram.items()), 4):
+        want[(size, shard)] += after - first
+    assert Counter((groups[c], s) for c, s in where.items()) == want
+    assert {s: sum(r.size for r in found if r.shard == s) for s in range(4)} == {
+        s: sum(size * n for (size, k), n in want.items() if k == s) for s in range(4)}
+    for s in range(4):
+        assert sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found)))
+
+
 def test_fuse_filter():
     keys = np.random.default_rng(4).integers(0, 2 ** 63, 60_000).astype(np.uint64)
     for n in (1, 2, 5, 100, 30_000):
@@ -267,6 +289,31 @@ def test_line_dedup_leaves_no_repeated_passage(spark):
     assert not gone & set(firsts.values())
 
 
+def test_line_dedup_gives_null_and_shared_ids_a_place(spark):
+    own, other = words(75, 41), words(75, 42)
+    rows = [(None, own + "\na"), (None, own + "\nb"), (3, own + "\nc"), (3, own + "\nd"), (4, own + "\ne"), (5, "f"),
+            (None, other), (None, other), (None, other + "\ng"), (None, None), (3, None)]
+    df = spark.createDataFrame([(*r, 7, 8) for r in rows], "doc_id long, text string, place long, shared_id int").repartition(3)
+    found = linededup.line_dedup(df).collect()
+    assert Counter((r.doc_id, r.text, r.removed_lines) for r in found) == Counter(
+        [(4, own + "\ne", 0), (3, "c", 1), (3, "d", 1), (None, "a", 1), (None, "b", 1), (5, "f", 0),
+         (None, other, 0), (None, "", 1), (None, "g", 1), (None, None, 0), (3, None, 0)])
+    kept = linededup.drop_repeated(df)
+    assert kept.columns == df.columns and kept.filter("place = 7 and shared_id = 8").count() == 10
+    ends = [((1 << 63) - 1, own), (None, own + "\nh"), (None, own)]
+    found = linededup.line_dedup(spark.createDataFrame(ends, "doc_id long, text string")).collect()
+    assert sum(own in r.text for r in found) == 1 and len(found) == 3
+
+
+def test_line_dedup_takes_long_documents(spark):
+    """Two documents of 60,000 lines; the second has all of the first but its middle line, and lines between."""
+    lines = [words(3, 5000 + k) for k in range(60_000)]
+    other = lines[:30_000] + ["new line"] + lines[30_001:] + ["the end"]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(other))], "doc_id long, text string")
+    text = {r.doc_id: r.text for r in linededup.line_dedup(df).collect()}
+    assert text == {1: "\n".join(lines), 2: "new line\nthe end"}
+
+
 ITEMS = [(1, words(30, 21) + ". What is it?\nAnswer " + words(6, 22) + "."), (2, None), (3, "too short"), (4, words(200, 23)), (4, words(200, 23))]
 
 

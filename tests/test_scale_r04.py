@@ -3,7 +3,9 @@
 import numpy as np
 from test_scale_r03 import frame
 
+from tapewise.functions import tree_kernel
 from tapewise.operators import models as M
+from tapewise.operators import trees as T
 
 
 def test_ada_boost_of_rows_that_fit_a_task_is_one_task(spark, monkeypatch):
@@ -15,3 +17,68 @@ def test_ada_boost_of_rows_that_fit_a_task_is_one_task(spark, monkeypatch):
     whole = M.ada_boost(data, 25, 0.5).stumps
     assert [(s.feature, s.threshold, s.left, s.right) for s in whole] == [(s.feature, s.threshold, s.left, s.right) for s in by_round]
     assert np.allclose([(s.alpha, s.error) for s in whole], [(s.alpha, s.error) for s in by_round], atol=1e-9) and len(whole) == 25
+
+
+def old_importances(model, p):
+    total = np.zeros(p)
+    for r in model.subtrees.collect():
+        gain = tree_kernel.importances({k: np.asarray(r[k]) for k in T.KINDS}, p)
+        total += gain / gain.sum()
+    return total / len(model.plans)
+
+
+def test_importances_read_no_nodes(spark):
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    model = T.Forest(5, seed=2).fit(frame(spark, x, (x[:, 0] + 0.5 * x[:, 2] > 0).astype(float)))
+    found = model.importances("abcd")
+    assert "ReadSchema: struct<tree:int,gain:array<double>>" in found._jdf.queryExecution().executedPlan().toString()
+    got = {r.feature: r.importance for r in found.collect()}
+    assert np.allclose([got[c] for c in "abcd"], old_importances(model, 4))
+
+
+def grown_directly(x, y, w, seed, m, min_leaf):
+    """Node by node, each cut tried alone: leaves' (weight, share) by row."""
+    out = np.zeros((len(y), 2))
+
+    def grow(at, node):
+        n, n1 = w[at].sum(), (w * y)[at].sum()
+        best, found = None, 0
+        if 0 < n1 < n and n >= 2 and n >= 2 * min_leaf:
+            for f in tree_kernel.feature_order(np.array([node], np.uint64), seed, x.shape[1])[0]:
+                values, cut = np.unique(x[at, f]), False
+                for low, high in zip(values, values[1:]):
+                    side = at & (x[:, f] <= low)
+                    l, l1 = w[side].sum(), (w * y)[side].sum()
+                    r, r1 = n - l, n1 - l1
+                    if min(l, r) >= min_leaf:
+                        cut, score = True, (l1 * l1 + (l - l1) * (l - l1)) / l + (r1 * r1 + (r - r1) * (r - r1)) / r
+                        if best is None or (score, -f, -low) > best[:3]:
+                            best = (score, -f, -low, side)
+                found += cut
+                if found == m:
+                    break
+        if best is None:
+            out[at] = n, n1 / n
+        else:
+            grow(best[3], tree_kernel.child_ids(np.array([node], np.uint64), 0)[0])
+            grow(at & ~best[3], tree_kernel.child_ids(np.array([node], np.uint64), 1)[0])
+
+    grow(np.ones(len(y), bool), tree_kernel.ROOT)
+    return out
+
+
+def test_kernel_equals_direct_growth_for_all_kinds_of_weights():
+    rng = np.random.default_rng(3)
+    for case, weights in enumerate((np.ones(150), rng.integers(1, 5, 150), rng.integers(1, 90_000, 150), rng.random(150) + 0.1)):
+        for m, min_leaf in ((2, 1.0), (5, 4.0)):
+            x = np.round(rng.normal(size=(150, 5)), 1)
+            x[:, 1], x[:, 2], x[:, 3] = 7.0, rng.integers(0, 2, 150), np.where(x[:, 3] > 1, np.inf, x[:, 3])
+            y, w = rng.integers(0, 2, 150).astype(float), weights.astype("float64")
+            tree = tree_kernel.grow(x, y, w, tree_kernel.ROOT, 0, case, m, min_leaf, 2.0, None)
+            leaf = tree_kernel.leaves(tree, x)
+            want = grown_directly(x, y, w, case, m, min_leaf)
+            assert np.allclose(np.stack((tree["n"][leaf], tree["n1"][leaf] / tree["n"][leaf]), axis=1), want), (case, m)
+            again = tree_kernel.grow(None, y, w, tree_kernel.ROOT, 0, case, m, min_leaf, 2.0, None, tree_kernel.value_codes(x),
+                                     tree_kernel.values_of(x, tree_kernel.value_codes(x)))
+            assert all((tree[k] == again[k]).all() for k in tree)

@@ -3,7 +3,8 @@
 import numpy as np
 from test_scale_r03 import frame, names_of
 
-from tapewise.functions import tree_kernel
+from tapewise.functions import boost_kernel, tree_kernel
+from tapewise.operators import boosting as B
 from tapewise.operators import models as M
 from tapewise.operators import trees as T
 
@@ -101,3 +102,30 @@ def test_large_tables_of_few_cells_grow_from_their_cells(spark, monkeypatch):
     assert len(found) == 400 and all(abs(r.score - whole[r.loan_id]) < 1e-12 for r in found)
     assert {r.loan_id: r.score for r in T.Tree(local_rows=40).fit(data).transform(data).collect()} == \
         {i: y[(x == x[i]).all(axis=1)].mean() for i in range(400)}
+
+
+def test_boosting_takes_rows_alike_as_one(spark, monkeypatch):
+    x, y = dummies(300, 6)
+    data, seen, found = frame(spark, x, y), names_of(monkeypatch, B), []
+    for local in (5, 1000):
+        found.append([r.score for r in B.Boosted(6, 2, 0.3, 7, local_rows=local).fit(data).transform(data).orderBy("loan_id").collect()])
+    assert seen.count("boost-alike") == 2
+    monkeypatch.setattr(B, "_alike", lambda table: table)
+    for local in (5, 1000):
+        found.append([r.score for r in B.Boosted(6, 2, 0.3, 7, local_rows=local).fit(data).transform(data).orderBy("loan_id").collect()])
+    assert all(np.allclose(f, found[0], atol=1e-12) for f in found)
+
+
+def test_joined_features_give_each_features_sums():
+    rng = np.random.default_rng(7)
+    sizes = [2, 2, 1, 200, 5, 2, 256, 3]
+    codes = np.stack([rng.integers(0, s, 3000) for s in sizes], axis=1).astype("u1")
+    node, r = rng.integers(0, 4, 3000), rng.normal(size=3000)
+    joint = boost_kernel.joined(codes, 256)
+    assert len(joint) < len(sizes) and sorted(f for _, features, _ in joint for f in features) == list(range(len(sizes)))
+    found = boost_kernel.joint_histogram(joint, len(sizes), node, 4, 256, [None, r])
+    for f in range(len(sizes)):
+        cell = node * 256 + codes[:, f]
+        assert np.allclose(found[:, f, :, 0].ravel(), np.bincount(cell, minlength=1024))
+        assert np.allclose(found[:, f, :, 1].ravel(), np.bincount(cell, r, 1024))
+    assert not found[..., 2].any()

@@ -20,6 +20,16 @@ def test_ada_boost_of_rows_that_fit_a_task_is_one_task(spark, monkeypatch):
     assert np.allclose([(s.alpha, s.error) for s in whole], [(s.alpha, s.error) for s in by_round], atol=1e-9) and len(whole) == 25
 
 
+def test_ada_boost_scores_by_a_shallow_sum(spark):
+    stumps = [M.Stump(0, float(i), float(i % 2), 1.0 - i % 2, 1.0 + i) for i in range(400)]
+    x = np.array([-1.0, 150.5, 500.0])
+    want = sum(s.alpha * (2 * np.where(x <= s.threshold, s.left, s.right) - 1) for s in stumps) / sum(s.alpha for s in stumps)
+    model = M.AdaBoostModel(stumps)
+    assert max(np.cumsum([(c == "(") - (c == ")") for c in model.decision()._jc.toString()])) < 100
+    found = model.transform(frame(spark, x[:, None], np.zeros(3))).orderBy("loan_id").collect()
+    assert np.allclose([r.score for r in found], want) and [r.prediction for r in found] == [int(v > 0) for v in want]
+
+
 def old_importances(model, p):
     total = np.zeros(p)
     for r in model.subtrees.collect():

@@ -95,6 +95,11 @@ def test_kernel_equals_direct_growth_for_all_kinds_of_weights():
             assert all((tree[k] == again[k]).all() for k in tree)
 
 
+def test_kernel_keeps_one_leaf_where_all_features_are_constant():
+    tree = tree_kernel.grow(np.ones((4, 3)), np.array([0.0, 1, 1, 0]), np.ones(4), tree_kernel.ROOT, 0, 1, 2, 1.0, 2.0, None)
+    assert tree["feature"].tolist() == [-1] and tree["n"].tolist() == [4] and tree["n1"].tolist() == [2]
+
+
 def dummies(n, seed):
     rng = np.random.default_rng(seed)
     x = rng.integers(0, 2, (n, 4)).astype(float)
